@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sparkmine.plans import graph
+from sparkmine.plans import graph, matrix, quantiles
 
-_DOMAINS = [graph]
+_DOMAINS = [graph, matrix, quantiles]
 
 
 def queries():
