@@ -56,7 +56,7 @@ def two_hop_pairs(edges: DataFrame, multiset: bool = False, skew_min_rows: int |
     e = normalize_edges(edges, multiset)
     a = e.select(F.col("user").alias("via"), F.col("pos").alias("pos_a"), F.col("friend").alias("user"))
     b = e.select(F.col("user").alias("via"), F.col("pos").alias("pos_b"), F.col("friend").alias("cand"))
-    hot = hot_keys(e.select(F.col("user").alias("via")), ["via"], **({"min_rows": skew_min_rows} if skew_min_rows else {}))
+    hot = hot_keys(a.select("via"), ["via"], **({"min_rows": skew_min_rows} if skew_min_rows else {}))
     j = salted_join(a, b, ["via"], hot, salt_source="user")
     if multiset:
         j = j.where(F.col("pos_a") != F.col("pos_b"))

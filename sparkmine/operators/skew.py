@@ -1,24 +1,28 @@
 """Hot-key detection and salted equi-joins.
 
-A key that holds a large share of the rows (a hub user, a common inner index,
-a popular token) would put all of its join output into one task. These helpers
-find such keys with a partially aggregated count and spread their rows over
-several salt values: the left side gets one salt per row, the right side is
-replicated once per salt, so every left/right pair still meets exactly once.
+A key that holds a large share of the rows (a hub user, a dense inner index, a
+common token, a group of identical documents) would put all of its join
+output into one task. ``hot_keys`` finds such keys with a partially aggregated
+count; ``salted_join`` spreads their rows over several salt values: the left
+side gets one salt per row, the right side is replicated once per salt, so
+every left/right pair still meets exactly once and results are unchanged.
+
+Everything is lazy (no driver action). The hot-key table is cut to the
+``max_keys`` largest keys, so it has a fixed size bound and is broadcast;
+keys beyond that bound are still joined correctly (unsalted, AQE's skew-join
+split applies to them).
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# A key is hot when it holds at least this many rows ...
-DEFAULT_MIN_HOT_ROWS = 200_000
-# ... and at least total/MAX_HOT_KEYS rows, so at most MAX_HOT_KEYS keys can be
-# hot: the hot-key table has a proven size bound and may be broadcast.
+# A key is hot when it holds at least this many rows on the salted side.
+DEFAULT_MIN_HOT_ROWS = 100_000
+# Rows of one hot key per salt value (one task's share of that key).
+DEFAULT_ROWS_PER_SALT = 25_000
+# Upper bound on the broadcast hot-key table.
 MAX_HOT_KEYS = 10_000
 
 
@@ -27,27 +31,16 @@ def hot_keys(
     keys: list[str],
     min_rows: int = DEFAULT_MIN_HOT_ROWS,
     max_keys: int = MAX_HOT_KEYS,
-    rows_per_salt: int | None = None,
-) -> DataFrame | None:
-    """Return a small DataFrame ``keys + [n_salt]`` of hot keys, or None if none is hot.
-
-    The threshold is ``max(min_rows, ceil(total / max_keys))``; because the counts
-    sum to ``total`` at most ``max_keys`` keys pass it, so the result is bounded and
-    safe to broadcast. Each hot key gets ``ceil(n / rows_per_salt)`` salts.
-    """
-    spark: SparkSession = df.sparkSession
+    rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
+) -> DataFrame:
+    """Lazy table ``keys + [n_salt]`` of at most ``max_keys`` hot keys."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    threshold = max(min_rows, math.ceil(total / max_keys))
-    per_salt = rows_per_salt or max(1, min_rows // 4)
-    rows = counts.where(F.col("_n") >= threshold).collect()  # <= max_keys rows by construction
-    if not rows:
-        return None
-    schema = T.StructType(
-        [f for f in counts.schema.fields if f.name in keys] + [T.StructField("n_salt", T.IntegerType(), False)]
+    return (
+        counts.where(F.col("_n") >= min_rows)
+        .orderBy(F.desc("_n"))
+        .limit(max_keys)  # size bound of the broadcast side, not a cap on results
+        .select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_salt)).cast("int").alias("n_salt"))
     )
-    data = [tuple(r[k] for k in keys) + (int(math.ceil(r["_n"] / per_salt)),) for r in rows]
-    return spark.createDataFrame(data, schema)
 
 
 def salted_join(
@@ -55,26 +48,20 @@ def salted_join(
     right: DataFrame,
     keys: list[str],
     hot: DataFrame | None,
-    salt_source: str | None = None,
+    salt_source: str | list[str] | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner equi-join on ``keys`` that splits hot keys over ``n_salt`` tasks.
+    """Equi-join on ``keys`` that splits hot keys of ``left`` over ``n_salt`` tasks.
 
-    ``salt_source`` names a left column that varies within a key (row position,
-    partner id); its hash picks the salt. Without hot keys this is a plain join.
+    ``salt_source`` names left columns that vary within a key (row position,
+    partner id); their hash picks the salt deterministically, so a recomputed
+    task salts its rows the same way. ``how`` may be inner or left.
     """
     if hot is None:
-        return left.join(right, keys)
+        return left.join(right, keys, how)
     hb = F.broadcast(hot)
-    # Deterministic salt (a recomputed task must salt its rows the same way).
-    src = F.col(salt_source) if salt_source else F.struct(*[F.col(c) for c in left.columns])
-    lft = (
-        left.join(hb, keys, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(src), F.coalesce(F.col("n_salt"), F.lit(1))).cast("int"))
-        .drop("n_salt")
-    )
-    rgt = (
-        right.join(hb, keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1)))
-        .drop("n_salt")
-    )
-    return lft.join(rgt, keys + ["_salt"]).drop("_salt")
+    cols = [salt_source] if isinstance(salt_source, str) else list(salt_source or left.columns)
+    n_salt = F.coalesce(F.col("n_salt"), F.lit(1))
+    lft = left.join(hb, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), n_salt).cast("int")).drop("n_salt")
+    rgt = right.join(hb, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), n_salt - 1))).drop("n_salt")
+    return lft.join(rgt, keys + ["_salt"], how).drop("_salt")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sparkmine.plans import graph, matrix, quantiles
+from sparkmine.plans import graph, matrix, quantiles, similarity
 
-_DOMAINS = [graph, matrix, quantiles]
+_DOMAINS = [graph, matrix, quantiles, similarity]
 
 
 def queries():

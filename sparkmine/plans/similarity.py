@@ -1,0 +1,155 @@
+"""Paragraph-similarity queries on ``documents`` (whole texts, every document)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparkmine.operators import clustering as C
+from sparkmine.operators import shingles as S
+from sparkmine.operators import similarity as SIM
+from sparkmine.sources import text as io
+from sparkmine.sources.tables import table
+
+MAX_D = SIM.DEFAULT_MAX_DISTANCE
+TOP = SIM.TOP_PAIRS
+
+
+def paragraphs(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("para"))
+
+
+def paragraph_lines(spark, sf_dir):
+    """``id \\t text`` lines; French paragraphs arrive quoted (``"text".``)."""
+    d = table(spark, sf_dir, "documents")
+    txt = F.when(F.col("lang") == "fr", F.concat(F.lit('"'), F.col("text"), F.lit('".'))).otherwise(F.col("text"))
+    return d.select(F.concat_ws("\t", F.col("doc_id").cast("string"), txt).alias("value"))
+
+
+def paragraph_parse(spark, sf_dir):
+    return io.parse_paragraphs(paragraph_lines(spark, sf_dir))
+
+
+def shingles(spark, sf_dir):
+    return S.shingle_rows(paragraphs(spark, sf_dir))
+
+
+def shingle_vocabulary(spark, sf_dir):
+    return S.vocabulary(S.shingle_sets(paragraphs(spark, sf_dir)))
+
+
+def paragraph_sets(spark, sf_dir):
+    return S.shingle_sets(paragraphs(spark, sf_dir)).select("id", "n_shingles", "size")
+
+
+def _pairs(spark, sf_dir):
+    return SIM.jaccard_pairs(S.shingle_sets(paragraphs(spark, sf_dir)), MAX_D)
+
+
+def exact_jaccard_pairs(spark, sf_dir):
+    return _pairs(spark, sf_dir)
+
+
+def similarity_edges(spark, sf_dir):
+    return SIM.similarity_edges(_pairs(spark, sf_dir))
+
+
+def closest_pairs(spark, sf_dir):
+    return SIM.closest_pairs(_pairs(spark, sf_dir), TOP)
+
+
+def shared_shingle_evidence(spark, sf_dir):
+    top = SIM.closest_pairs(_pairs(spark, sf_dir), TOP)
+    return SIM.shared_shingle_evidence(top, paragraphs(spark, sf_dir))
+
+
+def evidence_lines(spark, sf_dir):
+    return io.format_evidence(shared_shingle_evidence(spark, sf_dir)).select("value")
+
+
+def minhash_pairs(spark, sf_dir):
+    return SIM.minhash_pairs(S.shingle_sets(paragraphs(spark, sf_dir)), MAX_D)
+
+
+def pic_clusters(spark, sf_dir):
+    return C.pic_clusters(SIM.similarity_edges(_pairs(spark, sf_dir)))
+
+
+def cluster_lines(spark, sf_dir):
+    return io.format_cluster_lines(C.cluster_member_lists(pic_clusters(spark, sf_dir)))
+
+
+# --- oracles -----------------------------------------------------------------------------
+
+_LINES = """SELECT CAST(doc_id AS VARCHAR) || chr(9) || CASE WHEN lang = 'fr' THEN '"' || text || '".' ELSE text END AS value FROM documents"""
+
+_PARSE = f"""
+WITH l AS ({_LINES}),
+f AS (SELECT split_part(value, chr(9), 1) AS f0, split_part(value, chr(9), 2) AS f1 FROM l
+      WHERE length(value) > 0 AND NOT starts_with(value, chr(9)))
+SELECT TRY_CAST(f0 AS BIGINT) AS id,
+       CASE WHEN left(f1, 1) IN ('"', chr(65533)) THEN substring(f1, 2, length(f1) - 3) ELSE f1 END AS para
+FROM f WHERE TRY_CAST(f0 AS BIGINT) IS NOT NULL AND length(f1) > 0
+"""
+
+# Shingles by a per-document window over characters (linear; no substring by index).
+_SH = """
+WITH ch AS (SELECT doc_id AS id, unnest(string_split(text, '')) AS c, generate_subscripts(string_split(text, ''), 1) AS pos
+            FROM documents),
+w5 AS (SELECT id, CAST(pos - 1 AS INTEGER) AS off,
+              c || lead(c, 1) OVER w || lead(c, 2) OVER w || lead(c, 3) OVER w || lead(c, 4) OVER w AS shingle,
+              lead(c, 5) OVER w AS nxt
+       FROM ch WINDOW w AS (PARTITION BY id ORDER BY pos))
+SELECT id, off, shingle FROM w5 WHERE nxt IS NOT NULL
+"""
+
+_SETS = f"SELECT DISTINCT id, shingle FROM ({_SH})"
+
+# Brute force: every pair sharing a shingle (inverted index), exact counts.
+_PAIRS = f"""
+WITH s AS ({_SETS}),
+sz AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+inter AS (SELECT a.id AS idA, b.id AS idB, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.id < b.id GROUP BY 1, 2),
+d AS (SELECT i.idA, i.idB, 1.0 - CAST(i.c AS DOUBLE) / CAST(x.n + y.n - i.c AS DOUBLE) AS distance
+      FROM inter i JOIN sz x ON x.id = i.idA JOIN sz y ON y.id = i.idB)
+SELECT idA, idB, distance FROM d WHERE distance < {MAX_D}
+"""
+
+_TOP = f"SELECT * FROM ({_PAIRS}) ORDER BY distance, idA, idB LIMIT {TOP}"
+
+_EVIDENCE = f"""
+WITH t AS ({_TOP}),
+f AS (SELECT id, shingle, min(off) AS off FROM ({_SH}) WHERE id IN (SELECT idA FROM t UNION SELECT idB FROM t) GROUP BY id, shingle)
+SELECT t.idA, t.idB, a.shingle, a.off AS offA, b.off AS offB
+FROM t JOIN f a ON a.id = t.idA JOIN f b ON b.id = t.idB AND b.shingle = a.shingle
+"""
+
+QUERIES = {
+    "paragraph_parse": paragraph_parse,
+    "shingles": shingles,
+    "shingle_vocabulary": shingle_vocabulary,
+    "paragraph_sets": paragraph_sets,
+    "exact_jaccard_pairs": exact_jaccard_pairs,
+    "similarity_edges": similarity_edges,
+    "closest_pairs": closest_pairs,
+    "shared_shingle_evidence": shared_shingle_evidence,
+    "evidence_lines": evidence_lines,
+    "minhash_pairs": minhash_pairs,
+    "pic_clusters": pic_clusters,
+    "cluster_lines": cluster_lines,
+}
+
+ORACLES = {
+    "paragraph_parse": _PARSE,
+    "shingles": _SH,
+    "shingle_vocabulary": f"SELECT shingle, count(*) AS n_docs FROM ({_SETS}) GROUP BY shingle",
+    "paragraph_sets": f"SELECT id, count(*) AS n_shingles, count(DISTINCT shingle) AS size FROM ({_SH}) GROUP BY id",
+    "exact_jaccard_pairs": _PAIRS,
+    "similarity_edges": f"SELECT idA AS src, idB AS dst, 1.0 - distance AS similarity FROM ({_PAIRS})",
+    "closest_pairs": _TOP,
+    "shared_shingle_evidence": _EVIDENCE,
+    "evidence_lines": (
+        "SELECT '<' || idA || ' - ' || idB || '> ' || shingle || ' <' || offA || ' - ' || offB || '> ' AS value "
+        f"FROM ({_EVIDENCE})"
+    ),
+    # minhash_pairs, pic_clusters, cluster_lines: approximate / iterative -> rows-only check
+}

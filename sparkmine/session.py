@@ -35,6 +35,9 @@ def get_session(
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = "16g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -65,3 +68,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     else:
         raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS / object store) on a cluster")
     return sc.getCheckpointDir()
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage of a frame that several branches reuse (computed once, not
+    once per branch), keeps later plans small, and survives executor loss: the
+    table lives on the shared storage named by ``spark.checkpoint.dir``.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/sparkmine/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

@@ -15,3 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a frame whose scan yields fewer tasks than the cluster has cores.
+
+    Used before CPU-heavy per-row work (shingling): a file with a single row group
+    is read by one task. An input of at least as many files as cores is left
+    alone (no shuffle).
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < want:
+        return df.repartition(want)
+    return df
