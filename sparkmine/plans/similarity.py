@@ -54,11 +54,12 @@ def similarity_edges(spark, sf_dir):
 
 
 def closest_pairs(spark, sf_dir):
-    return SIM.closest_pairs(_pairs(spark, sf_dir), TOP)
+    """Top-5 closest of all pairs sharing a shingle (exact, adaptive bound)."""
+    return SIM.closest_pairs_exact(S.shingle_sets(paragraphs(spark, sf_dir)), TOP)
 
 
 def shared_shingle_evidence(spark, sf_dir):
-    top = SIM.closest_pairs(_pairs(spark, sf_dir), TOP)
+    top = SIM.closest_pairs_exact(S.shingle_sets(paragraphs(spark, sf_dir)), TOP)
     return SIM.shared_shingle_evidence(top, paragraphs(spark, sf_dir))
 
 
