@@ -11,6 +11,7 @@ from sparkmine.sources import text as io
 from sparkmine.sources.tables import table
 
 MAX_D = SIM.DEFAULT_MAX_DISTANCE
+NEAR_D = 0.2  # near-duplicate bound: short prefixes, cheap at any scale
 TOP = SIM.TOP_PAIRS
 
 
@@ -49,6 +50,10 @@ def exact_jaccard_pairs(spark, sf_dir):
     return _pairs(spark, sf_dir)
 
 
+def near_duplicate_pairs(spark, sf_dir):
+    return SIM.jaccard_pairs(S.shingle_sets(paragraphs(spark, sf_dir)), NEAR_D)
+
+
 def similarity_edges(spark, sf_dir):
     return SIM.similarity_edges(_pairs(spark, sf_dir))
 
@@ -68,11 +73,14 @@ def evidence_lines(spark, sf_dir):
 
 
 def minhash_pairs(spark, sf_dir):
-    return SIM.minhash_pairs(S.shingle_sets(paragraphs(spark, sf_dir)), MAX_D)
+    """LSH near-duplicate pairs (banded MinHash, exact distances, approximate recall)."""
+    return SIM.minhash_pairs(S.shingle_sets(paragraphs(spark, sf_dir)), NEAR_D,
+                             num_tables=SIM.NEAR_DUP_BANDS * SIM.NEAR_DUP_ROWS, band_rows=SIM.NEAR_DUP_ROWS)
 
 
 def pic_clusters(spark, sf_dir):
-    return C.pic_clusters(SIM.similarity_edges(_pairs(spark, sf_dir)))
+    """Power iteration clustering of the MinHash similarity graph (as the original job)."""
+    return C.pic_clusters(SIM.similarity_edges(minhash_pairs(spark, sf_dir)))
 
 
 def cluster_lines(spark, sf_dir):
@@ -115,6 +123,10 @@ d AS (SELECT i.idA, i.idB, 1.0 - CAST(i.c AS DOUBLE) / CAST(x.n + y.n - i.c AS D
 SELECT idA, idB, distance FROM d WHERE distance < {MAX_D}
 """
 
+def _pairs_sql(bound: float) -> str:
+    return _PAIRS.replace(f"WHERE distance < {MAX_D}", f"WHERE distance < {bound}")
+
+
 _TOP = f"SELECT * FROM ({_PAIRS}) ORDER BY distance, idA, idB LIMIT {TOP}"
 
 _EVIDENCE = f"""
@@ -130,6 +142,7 @@ QUERIES = {
     "shingle_vocabulary": shingle_vocabulary,
     "paragraph_sets": paragraph_sets,
     "exact_jaccard_pairs": exact_jaccard_pairs,
+    "near_duplicate_pairs": near_duplicate_pairs,
     "similarity_edges": similarity_edges,
     "closest_pairs": closest_pairs,
     "shared_shingle_evidence": shared_shingle_evidence,
@@ -145,6 +158,7 @@ ORACLES = {
     "shingle_vocabulary": f"SELECT shingle, count(*) AS n_docs FROM ({_SETS}) GROUP BY shingle",
     "paragraph_sets": f"SELECT id, count(*) AS n_shingles, count(DISTINCT shingle) AS size FROM ({_SH}) GROUP BY id",
     "exact_jaccard_pairs": _PAIRS,
+    "near_duplicate_pairs": _pairs_sql(NEAR_D),
     "similarity_edges": f"SELECT idA AS src, idB AS dst, 1.0 - distance AS similarity FROM ({_PAIRS})",
     "closest_pairs": _TOP,
     "shared_shingle_evidence": _EVIDENCE,
