@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The original jobs read bounded text files only (no streams, watermarks, windows
+or state), so there is no streaming operator to rebuild. Every operator here
+takes DataFrames, so a Structured Streaming user can still apply one per
+micro-batch with ``writeStream.foreachBatch`` without any code in this package.
+"""
