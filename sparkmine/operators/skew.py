@@ -29,11 +29,16 @@ MAX_HOT_KEYS = 10_000
 def hot_keys(
     df: DataFrame,
     keys: list[str],
-    min_rows: int = DEFAULT_MIN_HOT_ROWS,
+    min_rows: int | None = None,
     max_keys: int = MAX_HOT_KEYS,
-    rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
+    rows_per_salt: int | None = None,
 ) -> DataFrame:
-    """Lazy table ``keys + [n_salt]`` of at most ``max_keys`` hot keys."""
+    """Lazy table ``keys + [n_salt]`` of at most ``max_keys`` hot keys.
+
+    Defaults come from the module settings at call time, so a session can tune them.
+    """
+    min_rows = DEFAULT_MIN_HOT_ROWS if min_rows is None else min_rows
+    rows_per_salt = DEFAULT_ROWS_PER_SALT if rows_per_salt is None else rows_per_salt
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return (
         counts.where(F.col("_n") >= min_rows)
