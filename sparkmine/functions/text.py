@@ -25,8 +25,8 @@ def shingle_array(text: Column | str, n: int = SHINGLE_LEN, include_last: bool =
     return F.slice(arr, 1, F.greatest(F.size(arr) - 1, F.lit(0)))
 
 
-def set_hash(arr: Column, salt: str = "") -> Column:
-    """Order-free 64-bit fingerprint of a distinct array (XOR of element hashes)."""
-    return F.aggregate(
-        arr, F.lit(0).cast("bigint"), lambda acc, s: acc.bitwiseXOR(F.xxhash64(F.concat(s, F.lit(salt)) if salt else s))
-    )
+def set_fingerprints(arr: Column) -> tuple[Column, Column]:
+    """Two independent fingerprints of a set given as a distinct array: 64-bit
+    xxhash64 and 32-bit murmur3 of the sorted array (built-in, code-generated)."""
+    srt = F.array_sort(arr)
+    return F.xxhash64(srt), F.hash(srt).cast("bigint")

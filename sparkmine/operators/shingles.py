@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.functions.text import INCLUDE_LAST, SHINGLE_LEN, set_hash, shingle_array
+from sparkmine.functions.text import INCLUDE_LAST, SHINGLE_LEN, set_fingerprints, shingle_array
 from sparkmine.sources.tables import spread
 
 
@@ -31,11 +31,11 @@ def shingle_sets(docs: DataFrame, id_col: str = "id", text_col: str = "para", n:
     """
     base = spread(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t")))
     arr = base.select("id", shingle_array("_t", n, include_last).alias("_all"))
+    h1, h2 = set_fingerprints(F.col("shingles"))
     return (
         arr.select("id", F.size("_all").alias("n_shingles"), F.array_distinct("_all").alias("shingles"))
         .where(F.col("n_shingles") > 0)
-        .select("id", "n_shingles", "shingles", F.size("shingles").alias("size"),
-                set_hash(F.col("shingles")).alias("h1"), set_hash(F.col("shingles"), "\u0001").alias("h2"))
+        .select("id", "n_shingles", "shingles", F.size("shingles").alias("size"), h1.alias("h1"), h2.alias("h2"))
     )
 
 

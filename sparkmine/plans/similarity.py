@@ -63,6 +63,14 @@ def closest_pairs(spark, sf_dir):
     return SIM.closest_pairs_exact(S.shingle_sets(paragraphs(spark, sf_dir)), TOP)
 
 
+def closest_pairs_sql(spark, sf_dir):
+    """The SQL form: a temp view of the near-duplicate pairs, top 15 by distance."""
+    near_duplicate_pairs(spark, sf_dir).createOrReplaceTempView("similar_pairs")
+    return spark.sql(
+        "SELECT idA, idB, distance FROM similar_pairs WHERE idA <> idB ORDER BY distance ASC, idA, idB LIMIT 15"
+    )
+
+
 def shared_shingle_evidence(spark, sf_dir):
     top = SIM.closest_pairs_exact(S.shingle_sets(paragraphs(spark, sf_dir)), TOP)
     return SIM.shared_shingle_evidence(top, paragraphs(spark, sf_dir))
@@ -145,6 +153,7 @@ QUERIES = {
     "near_duplicate_pairs": near_duplicate_pairs,
     "similarity_edges": similarity_edges,
     "closest_pairs": closest_pairs,
+    "closest_pairs_sql": closest_pairs_sql,
     "shared_shingle_evidence": shared_shingle_evidence,
     "evidence_lines": evidence_lines,
     "minhash_pairs": minhash_pairs,
@@ -161,6 +170,7 @@ ORACLES = {
     "near_duplicate_pairs": _pairs_sql(NEAR_D),
     "similarity_edges": f"SELECT idA AS src, idB AS dst, 1.0 - distance AS similarity FROM ({_PAIRS})",
     "closest_pairs": _TOP,
+    "closest_pairs_sql": f"SELECT * FROM ({_pairs_sql(NEAR_D)}) WHERE idA <> idB ORDER BY distance, idA, idB LIMIT 15",
     "shared_shingle_evidence": _EVIDENCE,
     "evidence_lines": (
         "SELECT '<' || idA || ' - ' || idB || '> ' || shingle || ' <' || offA || ' - ' || offB || '> ' AS value "
