@@ -65,3 +65,22 @@ def test_number_lines_and_sink(spark):
     lines = lines_df(spark, ["10", "20", "", " 30 ", "x", "40", "50"])
     q = Q.exact_quantiles(io.parse_numbers(lines), "value", legacy=True)
     assert io.format_quartile_line(q, ["p25", "p50", "p75"]).first()["value"] == "30\t40\t50\t"
+
+
+def test_empty_input_gives_no_group(spark):
+    df = spark.createDataFrame([], "x long")
+    assert Q.exact_quantiles(df, "x").count() == 0
+
+
+def test_decimal_values_and_nulls(spark):
+    from decimal import Decimal
+
+    rows = [(Decimal("1.50"),), (None,), (Decimal("2.25"),), (Decimal("-3.00"),), (Decimal("10.00"),)]
+    r = Q.exact_quantiles(spark.createDataFrame(rows, "x decimal(10,2)"), "x").first()
+    assert (r["p25"], r["p50"], r["p75"]) == (-0.75, 1.875, 6.125)
+
+
+def test_approx_quantiles_close(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 1001)], "x double")
+    r = Q.approx_quantiles(df, "x").first()
+    assert abs(r["p50"] - 500) <= 2 and abs(r["p25"] - 250) <= 2
