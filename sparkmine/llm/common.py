@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +56,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark, columns: dict[str, pa.Array]) -> DataFrame:
+    """A table from a few values that the driver holds."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions of the session, as a number."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import bin_slack, fingerprint, langid, quality_fm, toxicity, url_rules
+from sparkmine.llm import bin_slack, decontaminate, fingerprint, html_text, kd_shards, langid, probminhash, quality_fm, toxicity, url_rules
 from sparkmine.llm.common import fold
 from sparkmine.sources.tables import table
 
@@ -93,5 +93,26 @@ FROM parts p LEFT JOIN fit f USING (page_id) LEFT JOIN plain l USING (page_id)
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_fingerprint, op4_toxicity, op7_quality, op9_packing, op10_url_filter)}
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of its near copies."""
+    return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes."""
+    dims = {"doc_id": F.col("doc_id"), "n_chars": F.log1p(F.col("n_chars")), "source": F.col("source"), "lang": F.col("lang")}
+    return kd_shards.kd_shards(table(spark, sf_dir, "documents"), dims)
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a window alike to a benchmark item."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page."""
+    return table(spark, sf_dir, "pages").select("page_id", html_text.visible_text(F.col("html")).alias("text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language, op2_fingerprint, op3_html_text, op4_toxicity, op5_kd_shards, op6_decontamination, op7_quality, op8_near_duplicates, op9_packing, op10_url_filter)}
 ORACLES: dict[str, str] = {"op10_url_filter": OP10_SQL}

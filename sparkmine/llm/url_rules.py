@@ -19,9 +19,12 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.llm.common import local_table
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_BROADCAST_RULES = 100_000
 
@@ -63,10 +66,9 @@ def tokens_of(url: Column) -> Column:
 def judged_urls(urls: DataFrame, url_col: str, rules: list[Rule]) -> DataFrame:
     """(url, rule, pattern, verdict) of every distinct URL that a rule fits."""
     spark = urls.sparkSession
-    table = spark.createDataFrame(
-        [(r.name, r.verdict, r.pattern, r.on, t) for r in rules for t in (r.tokens or ("",))],
-        "name string, verdict string, pattern string, on string, token string",
-    )
+    filed_under = [(r.name, r.verdict, r.pattern, r.on, t) for r in rules for t in (r.tokens or ("",))]
+    names = ("name", "verdict", "pattern", "on", "token")
+    table = local_table(spark, {n: pa.array([x[i] for x in filed_under], pa.string()) for i, n in enumerate(names)})
     small = F.broadcast if len(rules) <= MAX_BROADCAST_RULES else (lambda x: x)
     seen = urls.select(F.col(url_col).alias("url")).distinct().withColumn("token", F.explode(tokens_of(F.col("url"))))
     # how many URLs hold each token that some rule needs
