@@ -45,7 +45,8 @@ def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
-    return bin_slack.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    files = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
+    return bin_slack.packed_documents(table(spark, sf_dir, "documents"), *files, public_tokenizers.PATTERN)
 
 
 # The host and path rules of the task, and plain patterns for what is left.
