@@ -98,12 +98,14 @@ def _key(text: str | None) -> bytes:
     return xxhash.xxh3_128_digest((text or "").encode("utf-8", "surrogatepass"))
 
 
+def node_number(row_id: Column, text: Column) -> Column:
+    """The id; without one, a number over all usual ids from the text's hash."""
+    return F.coalesce(row_id.cast("long"), F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 2) + F.lit(1 << 62))
+
+
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, node, text): node is the id; without one, a number over all ids from the text's hash."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    other = F.shiftrightunsigned(F.xxhash64(text), 2) + F.lit(1 << 62)
-    own = F.col(id_col).cast("long")
-    return docs.select(own.alias("id"), F.coalesce(own, other).alias("node"), text.alias("text"))
+    own, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(own.alias("id"), node_number(own, text).alias("node"), text.alias("text"))
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -1,0 +1,230 @@
+"""The operators' plain parts against brute force, without Spark."""
+
+import itertools
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from sparkmine.llm import bin_slack, fingerprint, langid, probminhash, quality_fm, toxicity
+from sparkmine.llm.common import letter_line, text_shingles, words
+from sparkmine.llm.html_text import rendered
+
+FILES = [public_tokenizers.path(f"byte_bpe_50k.{k}") for k in ("json", "tiktoken")]
+
+
+def test_shingles():
+    assert len(text_shingles(None)) == len(text_shingles("")) == len(text_shingles(" \n")) == 0
+    assert len(text_shingles("?!")) == len(text_shingles("a b c")) == 1
+    assert (text_shingles("A b, c d e f") == text_shingles("a B c D e F!")).all()
+    assert len(text_shingles("a b c d e f g")) == 3
+    assert len(set(text_shingles("a b c d e a b c d e").tolist())) == 5
+    assert words("L'été_1 x") == ["l", "été_1", "x"]
+
+
+def test_letter_line_and_grams():
+    assert letter_line("12 ?").size == letter_line(None).size == 0
+    assert "".join(map(chr, letter_line("Ab, c9ÄX"))) == " ab c äx "
+    grams, n = langid.gram_counts("Aba ab")
+    padded = ["_aba_", "_ab_"]
+    want = Counter()
+    for w in padded:
+        for k in (2, 3):
+            want.update(w[i : i + k] for i in range(len(w) - k + 1))
+        want.update(w[1:-1])
+    want = Counter({g: c for g, c in want.items()})
+    # the edge between two words is one blank, so its two-grams are those of the words
+    assert sorted(n.tolist()) == sorted(want.values())
+
+
+def test_out_of_place_distance():
+    p = langid.Profiles(("de", "en"), np.array([97, 98, 99]), np.array([[0, 2], [1, 3], [3, 0]]), 3)
+    own = langid.ranking("b a a", 3).tolist()
+    away = []
+    for lang in range(2):
+        d = 0
+        for i, g in enumerate(own):
+            r = {97: p.ranks[0, lang], 98: p.ranks[1, lang], 99: p.ranks[2, lang]}.get(g, 3)
+            d += 3 if r >= 3 else abs(i - r)
+        away.append(d)
+    lang, score = langid.nearest("b a a", p)
+    assert lang == p.langs[int(np.argmin(away))] and score == pytest.approx(1 - min(away) / 9)
+    assert langid.nearest(None, p) == langid.nearest("12", p) == ("und", 0.0)
+
+
+def test_one_permutation_signature():
+    assert fingerprint.signature(np.empty(0, np.uint64)) is None
+    s = text_shingles(" ".join(map(str, range(3000))))
+    a = fingerprint.signature(s)
+    assert a.max() < 16 and (a == fingerprint.signature(s[::-1])).all()
+    assert len(fingerprint.packed(a)) == fingerprint.BINS
+    one = fingerprint.signature(s[:1])
+    assert len(set(one.tolist())) == 1  # every bin borrows from the only full one
+    assert fingerprint.likeness(None, None) == 1 and fingerprint.likeness(None, a) == 0 and fingerprint.likeness(a, a) == 1
+
+
+@pytest.mark.parametrize("share", [0.0, 0.3, 0.6, 0.9])
+def test_likeness_is_unbiased(share):
+    rnd = np.random.default_rng(5)
+    got = []
+    for _ in range(40):
+        both, x, y = (rnd.integers(0, 1 << 63, n, dtype=np.int64).astype(np.uint64) * np.uint64(2) for n in (int(800 * share), 400 - int(400 * share), 400 - int(400 * share)))
+        a, b = np.concatenate([both, x]), np.concatenate([both, y])
+        true = len(both) / (len(both) + len(x) + len(y)) if len(both) else 0
+        got.append(fingerprint.likeness(fingerprint.signature(a), fingerprint.signature(b)) - true)
+    assert abs(np.mean(got)) < 0.02 + 0.02 * (share == 0)
+
+
+def test_probability_jaccard_against_its_definition():
+    rnd = random.Random(3)
+    for _ in range(30):
+        a, b = ({rnd.randrange(12): rnd.randint(1, 5) for _ in range(rnd.randint(1, 10))} for _ in "ab")
+        wa, wb = ({d: 1 + math.log(c) for d, c in s.items()} for s in (a, b))
+        want = sum(1 / sum(max(wa.get(e, 0) / wa[d], wb.get(e, 0) / wb[d]) for e in wa.keys() | wb.keys()) for d in wa.keys() & wb.keys())
+        x, y = ((np.array(sorted(s), np.uint64), np.array([s[k] for k in sorted(s)])) for s in (a, b))
+        assert probminhash.probability_jaccard(x, y) == pytest.approx(want)
+
+
+def test_registers_estimate_the_probability_jaccard():
+    rnd = np.random.default_rng(1)
+    sets = []
+    for _ in range(150):
+        both, x, y = (rnd.integers(1, 1 << 62, n).astype(np.uint64) for n in (60, 20, 20))
+        counts = rnd.integers(1, 4, 100)
+        for own, c in ((np.concatenate([both, x]), counts[:80]), (np.concatenate([both, y]), np.concatenate([counts[:60], counts[80:]]))):
+            order = np.argsort(own)
+            sets.append((own[order], c[order]))
+    sig = probminhash.prob_minhash(sets)
+    est = [(sig[i] == sig[i + 1]).mean() for i in range(0, len(sets), 2)]
+    true = [probminhash.probability_jaccard(sets[i], sets[i + 1]) for i in range(0, len(sets), 2)]
+    assert abs(np.mean(est) - np.mean(true)) < 0.015
+    one = probminhash.prob_minhash([sets[0], (np.empty(0, np.uint64), np.empty(0, np.int64)), sets[0], (np.array([7], np.uint64), np.array([1]))])
+    assert (one[0] == sig[0]).all() and (one[2] == sig[0]).all() and not one[1].any() and (one[3] == 7).all()
+
+
+def test_registers_keep_the_first_arrivals():
+    """Early termination changes nothing: the same draws run out in full give the same registers."""
+    from sparkmine.llm.common import mix64
+
+    h, c = probminhash.weighted_shingles(" ".join(map(str, range(40))) + " 0 1 2 3 4 5 6")
+    first, who = np.full(probminhash.REGISTERS, np.inf), np.zeros(probminhash.REGISTERS, np.uint64)
+    at = np.zeros(len(h))
+    for step in range(1, 400):
+        draw = mix64(h + np.uint64(step * 0x9E3779B97F4A7C15 % (1 << 64)))
+        at = at - np.log(((draw >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53) / probminhash.weights(c)
+        for e, t, r in zip(h, at, mix64(draw) % np.uint64(probminhash.REGISTERS), strict=True):
+            if t < first[int(r)]:
+                first[int(r)], who[int(r)] = t, e
+    assert (probminhash.prob_minhash([(h, c)])[0] == who).all()
+
+
+def test_sum_of_squares_identity():
+    rnd = np.random.default_rng(2)
+    size = (1 << quality_fm.WORD_BITS) + quality_fm.STATS
+    m = quality_fm.Machine(0.3, rnd.normal(size=size), rnd.normal(size=(size, 3)), np.zeros(quality_fm.STATS), np.ones(quality_fm.STATS))
+    idx, stats = quality_fm.features("Some words, some MORE words! 12", 31.0)
+    x = np.zeros(size)
+    x[idx] = 1 / math.sqrt(len(idx))
+    x[1 << quality_fm.WORD_BITS :] = quality_fm.standard(stats, m.center, m.scale)
+    on = np.flatnonzero(x)
+    want = 0.3 + x @ m.w + sum(float(m.v[i] @ m.v[j]) * x[i] * x[j] for i, j in itertools.combinations(on, 2))
+    assert quality_fm.machine_score(m, idx, stats) == pytest.approx(want, rel=1e-6)
+    assert len(quality_fm.features(None, None)[0]) == 0 and np.isfinite(quality_fm.features("", None)[1]).all()
+
+
+def test_character_buckets():
+    x = letter_line("Abcab c")
+    assert len(toxicity.buckets("Abcab c")) == sum(max(0, len(x) - n + 1) for n in toxicity.GRAMS)
+    assert len(toxicity.buckets(None)) == len(toxicity.buckets("42")) == 0
+    assert (toxicity.buckets("ABC d") == toxicity.buckets("abc, d")).all()
+
+
+@pytest.mark.parametrize("text", [
+    None, "", " ", "  a  b\n\n c", "Hello, world's end. it's 12.5\n x", "a\n b\tc \n", "<|endoftext|> x", " x y z", "été ñ 中文字 \U0001f600",
+    " lead", "trail ", "x\x1cy z", "a b\n\n\nc", "'s 't ''re", "1234567 ab12 _x__ y", "a" * 500 + " b",
+])
+def test_ids_equal_the_tokenizers(text):
+    t = Tokenizer.from_file(FILES[0])
+    want = [*t.encode(text or "", add_special_tokens=False).ids, 2]
+    assert np.frombuffer(bin_slack.token_bytes(text, *FILES, public_tokenizers.PATTERN), "<u4").tolist() == want
+
+
+def test_fullest_is_optimal():
+    rnd = random.Random(9)
+    for _ in range(60):
+        counts = {rnd.randint(1, 15): rnd.randint(1, 3) for _ in range(rnd.randint(1, 5))}
+        room = rnd.randint(0, 30)
+        own = [n for n, c in counts.items() for _ in range(c)]
+        best = max((sum(x) for k in range(len(own) + 1) for x in itertools.combinations(own, k) if sum(x) <= room), default=0)
+        got = bin_slack.fullest(counts, room)
+        assert sum(got) == best and all(got.count(n) <= counts[n] for n in got)
+
+
+def test_bins_take_every_piece_once():
+    rnd = random.Random(4)
+    histogram = {rnd.randint(1, 1024): rnd.randint(1, 900) for _ in range(300)}
+    plan = bin_slack.bins(histogram)
+    taken = Counter()
+    for own, times in plan:
+        assert sum(n * k for n, k in own.items()) <= 1024
+        for n, k in own.items():
+            taken[n] += k * times
+    assert taken == histogram
+    used = sum(t for _, t in plan)
+    least = max(sum(n * c for n, c in histogram.items()) / 1024, sum(c for n, c in histogram.items() if n > 512))
+    assert used <= 1.03 * least + 2
+    assert bin_slack.bins({}) == [] and len(bin_slack.places([])) == 0
+
+
+PAGES = [
+    (None, None), ("", ""), ("plain", "plain"), ("<p>a<p>b", "a\n\nb"), ("a<br>b", "a\nb"), ("<div>a</div><div>b</div>", "a\nb"),
+    ("<p>x <b>y</b>  z</p>", "x y z"), ("<ul><li>a<li>b<ul><li>c</ul></ul>", "- a\n- b\n  - c"), ("<ol start=9><li>a<li value=20>b<li>c</ol>", "9. a\n20. b\n21. c"),
+    ("<head><title>t</title></head><body>b<script>x<p></script>c", "bc"), ("<title>t</title>b", "b"), ("<p hidden>a</p>b", "b"),
+    ("<div style='DISPLAY : none'>a<p>b</div>c", "c"), ("<pre>a  b\n  c</pre>", "a  b\n  c"), ("&lt;b&gt; &amp; &eacute;", "<b> & é"),
+    ("<table><tr><td>a<td>bb<tr><td>ccc<td>d</table>", "a    bb\nccc  d"), ("<table><td>a<td>b</table>x", "a  b\n\nx"),
+    ("<table><tr><td colspan=2>wide</td></tr><tr><td>a</td><td>b</td></tr></table>", "wide\na  b"), ("<!-- c <p> -->a", "a"), ("a<p", "a"), ("1 < 2", "1 < 2"),
+    ("<a href='x>y'>t</a>", "t"), ("<blockquote>q</blockquote>", "  q"), ("</p>a</div>b", "ab"), ("<h1>a<h2>b</h2>c", "a\n\nb\n\nc"),
+    ("<template><p>x</p></template>y", "y"), ("<dl><dt>a<dd>b<dt>c</dl>", "a\n  b\nc"), ("<textarea> <p> </textarea>", " <p>"), ("<li>a", "- a"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), PAGES)
+def test_rendering(page, text):
+    assert rendered(page) == text
+
+
+def test_rendering_loses_no_visible_word():
+    rnd = random.Random(6)
+    tags = "p div ul ol li table tr td th b span blockquote pre dl dt dd section h2 br".split()
+    for _ in range(300):
+        parts, seen = [], []
+        for k in range(rnd.randint(1, 60)):
+            what = rnd.random()
+            if what < 0.4:
+                parts.append(f"<{rnd.choice(tags)}>")
+            elif what < 0.6:
+                parts.append(f"</{rnd.choice(tags)}>")
+            else:
+                parts.append(f" w{k}w ")
+                seen.append(f"w{k}w")
+        assert sorted(re.findall(r"w\d+w", rendered("".join(parts)))) == sorted(seen)
+
+
+def test_very_deep_and_long_pages():
+    assert rendered("<div>" * 5000 + "x").strip() == "x"
+    assert rendered("<ul><li>" * 3000 + "x").endswith("x")
+    assert rendered("<table><tr><td>" * 500 + "x").strip() == "x"
+    assert rendered("<p>a " * 50_000).count("a") == 50_000
+    assert rendered("<" * 20_000 + "x <a '" * 2000) is not None
+
+
+def test_crc_of_pieces_is_little_endian():
+    data = bin_slack.token_bytes("Hello", *FILES, public_tokenizers.PATTERN)
+    ids = [*Tokenizer.from_file(FILES[0]).encode("Hello", add_special_tokens=False).ids, 2]
+    assert zlib.crc32(data) == zlib.crc32(np.array(ids, "<u4").tobytes())
