@@ -34,6 +34,7 @@ def rank_pair(p: float, n: Column, legacy: bool = False) -> tuple[Column, Column
 
 def average(lo: Column, hi: Column, legacy: bool = False) -> Column:
     if legacy:
-        # integer halves truncated toward zero
-        return ((lo.cast("bigint") + hi.cast("bigint")) / 2).cast("bigint")
+        # integer halves truncated toward zero, exact for all of bigint
+        both = lo.cast("decimal(20,0)") + hi.cast("decimal(20,0)")
+        return ((both - both % 2) / 2).cast("bigint")
     return (lo.cast("double") + hi.cast("double")) / 2

@@ -28,5 +28,5 @@ def shingle_array(text: Column | str, n: int = SHINGLE_LEN, include_last: bool =
 def set_fingerprints(arr: Column) -> tuple[Column, Column]:
     """Two independent fingerprints of a set given as a distinct array: 64-bit
     xxhash64 and 32-bit murmur3 of the sorted array (built-in, code-generated)."""
-    srt = F.array_sort(arr)
+    srt = F.sort_array(arr)
     return F.xxhash64(srt), F.hash(srt).cast("bigint")

@@ -11,8 +11,9 @@ where numpy forms the rank-k pseudo-inverses:
   U = (C^T C)+ (C^T A R^T) (R R^T)+
 and the error  ||A - CUR||^2 = ||A||^2 - 2 tr(U^T C^T A R^T) + tr(U^T (C^T C) U (R R^T)).
 
-Energies are summed in fixed point (``ENERGY_UNITS`` per unit of v^2) as
-decimals, so cumulative sums are exact and do not depend on partitioning.
+Energies are summed in fixed point (``ENERGY_UNITS`` for the largest v^2) as
+decimals, so cumulative sums are exact, do not depend on partitioning and can
+neither saturate nor vanish with the scale of the matrix.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from sparkmine.operators.matrix import matmul
 from sparkmine.operators.ranks import prefix_sums
 
-ENERGY_UNITS = 1_000_000_000
+ENERGY_UNITS = 1_000_000_000_000_000
 # Sample sizes are bounded: the c x c, r x r and c x r matrices go to the driver.
 MAX_SAMPLES = 2_000
 # Relative eigenvalue cut-off of the Gram pseudo-inverse (Gram squares the condition number).
@@ -43,13 +44,15 @@ def array_rows_to_coo(df: DataFrame, id_col: str, array_col: str) -> DataFrame:
     )
 
 
-def _units(v: F.Column) -> F.Column:
-    return F.floor(v * v * F.lit(float(ENERGY_UNITS))).cast("decimal(38,0)")
-
-
 def energies(a: DataFrame, axis: str) -> DataFrame:
-    """``(idx, e)``: fixed-point sum of squares per row (``axis='i'``) or column (``'j'``)."""
-    return a.groupBy(F.col(axis).alias("idx")).agg(F.sum(_units(F.col("v"))).cast("decimal(38,0)").alias("e"))
+    """``(idx, e)``: fixed-point sum of squares per row (``axis='i'``) or column (``'j'``),
+    in units of the largest square / ``ENERGY_UNITS`` (one number on the driver)."""
+    largest = a.agg(F.max(F.abs("v"))).first()[0]
+    if largest is not None and not (0.0 < largest < math.inf):
+        raise ValueError("the matrix has no finite energy: all cells are zero, or one is not finite")
+    share = F.col("v") / F.lit(largest)
+    units = F.floor(share * share * F.lit(float(ENERGY_UNITS))).cast("decimal(38,0)")
+    return a.groupBy(F.col(axis).alias("idx")).agg(F.sum(units).cast("decimal(38,0)").alias("e"))
 
 
 def probabilities(a: DataFrame, axis: str) -> DataFrame:
@@ -102,13 +105,13 @@ def sample_indices(a: DataFrame, axis: str, draws: DataFrame) -> DataFrame:
 def select_columns(a: DataFrame, cols: DataFrame) -> DataFrame:
     """``C (i, p, v)``: column ``cols.idx`` of A as column ``cols.pos`` (scale sqrt(1) = 1)."""
     s = F.broadcast(cols.select(F.col("idx").alias("j"), F.col("pos").cast("bigint").alias("p")))
-    return a.join(s, "j").select("i", F.col("p").alias("j"), "v")
+    return a.where(F.col("v") != 0).join(s, "j").select("i", F.col("p").alias("j"), "v")
 
 
 def select_rows(a: DataFrame, rows: DataFrame) -> DataFrame:
     """``R (p, j, v)``: row ``rows.idx`` of A as row ``rows.pos``."""
     s = F.broadcast(rows.select(F.col("idx").alias("i"), F.col("pos").cast("bigint").alias("p")))
-    return a.join(s, "i").select(F.col("p").alias("i"), "j", "v")
+    return a.where(F.col("v") != 0).join(s, "i").select(F.col("p").alias("i"), "j", "v")
 
 
 def transpose(m: DataFrame) -> DataFrame:

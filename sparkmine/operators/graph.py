@@ -8,8 +8,8 @@ Plan (all DataFrame ops, no per-user Python):
         --partial+final count per (user, cand)--> mutual counts
         --left_anti join with direct edges--> candidates that are not already friends
         --row_number over user (Spark adds a partial group limit before the shuffle)--> top-k
-The self-join is quadratic in a via user's degree; hub users are split by salting
-(``operators.skew``) and AQE's skew-join handling covers the rest.
+The self-join is quadratic in a via user's degree; hub users are cut into tiles
+(``operators.skew``).
 """
 
 from __future__ import annotations
@@ -47,17 +47,16 @@ def normalize_edges(edges: DataFrame, multiset: bool = False) -> DataFrame:
     )
 
 
-def two_hop_pairs(edges: DataFrame, multiset: bool = False, skew_min_rows: int | None = None) -> DataFrame:
+def two_hop_pairs(edges: DataFrame, multiset: bool = False, pairs_per_tile: int | None = None) -> DataFrame:
     """``(user, cand, via)``: ``user`` and ``cand`` both sit in ``via``'s list.
 
-    Hot via users (a third of all edges in one list) are salted so their
-    quadratic pair output is spread over many tasks.
+    Hot via users (a third of all edges in one list) are cut into tiles of at most
+    ``pairs_per_tile`` pairs, so their quadratic output is spread over many tasks.
     """
     e = normalize_edges(edges, multiset)
     a = e.select(F.col("user").alias("via"), F.col("pos").alias("pos_a"), F.col("friend").alias("user"))
     b = e.select(F.col("user").alias("via"), F.col("pos").alias("pos_b"), F.col("friend").alias("cand"))
-    hot = hot_keys(a.select("via"), ["via"], **({"min_rows": skew_min_rows} if skew_min_rows else {}))
-    j = salted_join(a, b, ["via"], hot, salt_source="user")
+    j = salted_join(a, b, ["via"], hot_keys(a, ["via"], pairs_per_tile=pairs_per_tile))
     if multiset:
         j = j.where(F.col("pos_a") != F.col("pos_b"))
     else:
@@ -69,14 +68,14 @@ def mutual_friend_counts(
     edges: DataFrame,
     multiset: bool = False,
     with_via: bool = False,
-    skew_min_rows: int | None = None,
+    pairs_per_tile: int | None = None,
 ) -> DataFrame:
     """``(user, cand, n_mutual[, mutual])`` for candidates not already in ``user``'s list.
 
     Counting happens before the anti join (partial aggregation right after the
     pair join), so the anti join sees one row per (user, cand).
     """
-    pairs = two_hop_pairs(edges, multiset, skew_min_rows)
+    pairs = two_hop_pairs(edges, multiset, pairs_per_tile)
     aggs = [F.count(F.lit(1)).alias("n_mutual")]
     if with_via:
         aggs.append(F.array_sort(F.collect_list("via")).alias("mutual"))
@@ -110,10 +109,10 @@ def recommendation_keys(edges: DataFrame, multiset: bool = False) -> DataFrame:
     return owners.union(paired).distinct()
 
 
-def recommend_lists(edges: DataFrame, k: int = DEFAULT_TOP_K, multiset: bool = False, skew_min_rows: int | None = None) -> DataFrame:
+def recommend_lists(edges: DataFrame, k: int = DEFAULT_TOP_K, multiset: bool = False, pairs_per_tile: int | None = None) -> DataFrame:
     """``(user, recs)`` with ``recs`` the top-k ids joined by ``,`` in rank order;
     every key user is kept, with ``''`` when nothing is recommended."""
-    top = recommend_topk(mutual_friend_counts(edges, multiset, skew_min_rows=skew_min_rows), k)
+    top = recommend_topk(mutual_friend_counts(edges, multiset, pairs_per_tile=pairs_per_tile), k)
     lists = top.groupBy("user").agg(  # at most k rows per user after the group limit
         F.concat_ws(",", F.transform(F.array_sort(F.collect_list(F.struct("rank", "cand"))), lambda x: x["cand"].cast("string"))).alias("recs")
     )

@@ -21,15 +21,13 @@ def coalesce_cells(m: DataFrame) -> DataFrame:
     return m.groupBy("i", "j").agg(F.sum("v").alias("v"))
 
 
-def matmul(a: DataFrame, b: DataFrame, skew_min_rows: int | None = None, sum_duplicates: bool = True) -> DataFrame:
+def matmul(a: DataFrame, b: DataFrame, pairs_per_tile: int | None = None, sum_duplicates: bool = True) -> DataFrame:
     """``A (i, j, v) x B (i, j, v) -> C (i, j, v)``."""
     if sum_duplicates:
         a, b = coalesce_cells(a), coalesce_cells(b)
     left = a.select(F.col("i").alias("row"), F.col("j").alias("k"), F.col("v").alias("va"))
     right = b.select(F.col("i").alias("k"), F.col("j").alias("col"), F.col("v").alias("vb"))
-    kw = {"min_rows": skew_min_rows} if skew_min_rows else {}
-    hot = hot_keys(left.select("k"), ["k"], **kw)
-    joined = salted_join(left, right, ["k"], hot, salt_source="row")
+    joined = salted_join(left, right, ["k"], hot_keys(left, ["k"], right, pairs_per_tile))
     return joined.groupBy(F.col("row").alias("i"), F.col("col").alias("j")).agg(F.sum(F.col("va") * F.col("vb")).alias("v"))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.quantile_rules import average, rank_pair
-from sparkmine.operators.ranks import DEFAULT_ROWS_PER_BUCKET, prefix_sums
+from sparkmine.operators.ranks import DEFAULT_BUCKETS, prefix_sums
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -33,7 +33,7 @@ def exact_quantiles(
     probs=QUARTILES,
     by: list[str] | str | None = None,
     legacy: bool = False,
-    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Wide result: ``by... , p25, p50, p75`` (one row per group, one for no group).
 
@@ -47,7 +47,7 @@ def exact_quantiles(
         .groupBy(*keys, F.col(col).alias("_x"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    ranked = prefix_sums(dv, "_x", "_c", by=keys, rows_per_bucket=rows_per_bucket)
+    ranked = prefix_sums(dv, "_x", "_c", by=keys, buckets=buckets)
     n = F.col("total")
     # rank 1 always exists, so every group keeps at least one row (pi = -1)
     wanted = [F.struct(F.lit(-1).alias("pi"), F.lit(0).alias("which"), F.lit(1).cast("bigint").alias("r"))]
@@ -55,8 +55,13 @@ def exact_quantiles(
         lo, hi = rank_pair(p, n, legacy)
         wanted.append(F.struct(F.lit(idx).alias("pi"), F.lit(0).alias("which"), lo.alias("r")))
         wanted.append(F.struct(F.lit(idx).alias("pi"), F.lit(1).alias("which"), hi.alias("r")))
+    # only the few values that hold a wanted rank are exploded
+    reached = F.lit(False)
+    for w in wanted:
+        reached = reached | w["r"].between(F.col("cum_lo"), F.col("cum_hi"))
     hits = (
-        ranked.select(*keys, "_x", "cum_lo", "cum_hi", F.explode(F.array(*wanted)).alias("w"))
+        ranked.where(reached)
+        .select(*keys, "_x", "cum_lo", "cum_hi", F.explode(F.array(*wanted)).alias("w"))
         .where((F.col("w.r") >= F.col("cum_lo")) & (F.col("w.r") <= F.col("cum_hi")))
         .select(*keys, "_x", F.col("w.pi").alias("pi"), F.col("w.which").alias("which"))
     )

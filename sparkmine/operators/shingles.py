@@ -14,11 +14,18 @@ from sparkmine.functions.text import INCLUDE_LAST, SHINGLE_LEN, set_fingerprints
 from sparkmine.sources.tables import spread
 
 
+def _long_enough(docs: DataFrame, id_col: str, text_col: str, n: int, include_last: bool) -> DataFrame:
+    """``(id, _t)`` of the texts that have at least one shingle, told by their length alone."""
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t"))
+    return spread(own.where(F.length("_t") >= n + (0 if include_last else 1)))
+
+
 def shingle_rows(docs: DataFrame, id_col: str = "id", text_col: str = "para", n: int = SHINGLE_LEN,
                  include_last: bool = INCLUDE_LAST) -> DataFrame:
     """``(id, off, shingle)``: every window with its 0-based offset (repeats kept)."""
-    return spread(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t"))).select(
-        "id", F.posexplode(shingle_array("_t", n, include_last)).alias("off", "shingle")
+    # outer explode: the inner form would add a test of the array's size below, a second regex pass
+    return _long_enough(docs, id_col, text_col, n, include_last).select(
+        "id", F.posexplode_outer(shingle_array("_t", n, include_last)).alias("off", "shingle")
     )
 
 
@@ -29,12 +36,11 @@ def shingle_sets(docs: DataFrame, id_col: str = "id", text_col: str = "para", n:
     ``h1``/``h2`` are two independent order-free fingerprints of the set; equal
     ``(size, h1, h2)`` marks identical sets. Paragraphs without a shingle are dropped.
     """
-    base = spread(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_t")))
+    base = _long_enough(docs, id_col, text_col, n, include_last)
     arr = base.select("id", shingle_array("_t", n, include_last).alias("_all"))
     h1, h2 = set_fingerprints(F.col("shingles"))
     return (
         arr.select("id", F.size("_all").alias("n_shingles"), F.array_distinct("_all").alias("shingles"))
-        .where(F.col("n_shingles") > 0)
         .select("id", "n_shingles", "shingles", F.size("shingles").alias("size"), h1.alias("h1"), h2.alias("h2"))
     )
 
@@ -46,12 +52,22 @@ def token_sets(sets: DataFrame) -> DataFrame:
     Two different shingles share an id with probability about ``V^2 / 2^65`` for a
     vocabulary of ``V`` shingles (1e-7 at 1.6 M shingles).
     """
-    return sets.select("id", "size", "h1", "h2", F.array_sort(F.transform("shingles", lambda s: F.xxhash64(s))).alias("tokens"))
+    return sets.select("id", "size", "h1", "h2", F.sort_array(F.transform("shingles", lambda s: F.xxhash64(s))).alias("tokens"))
 
 
 def vocabulary(sets: DataFrame) -> DataFrame:
     """``(shingle, n_docs)``: document frequency; partial aggregation collapses common shingles."""
-    return sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("n_docs"))
+    return sets.select(F.explode_outer("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+def vocabulary_size(sets: DataFrame) -> DataFrame:
+    """One row ``(n_shingles)``: how many different shingles there are."""
+    return vocabulary(sets).agg(F.count(F.lit(1)).alias("n_shingles"))
+
+
+def set_rows(sets: DataFrame) -> DataFrame:
+    """``(id, shingle)``: one row per distinct shingle of each paragraph."""
+    return sets.select("id", F.explode_outer("shingles").alias("shingle"))
 
 
 def first_offsets(rows: DataFrame) -> DataFrame:

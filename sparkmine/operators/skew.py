@@ -1,16 +1,15 @@
-"""Hot-key detection and salted equi-joins.
+"""Hot-key detection and tiled equi-joins.
 
-A key that holds a large share of the rows (a hub user, a dense inner index, a
-common token, a group of identical documents) would put all of its join
-output into one task. ``hot_keys`` finds such keys with a partially aggregated
-count; ``salted_join`` spreads their rows over several salt values: the left
-side gets one salt per row, the right side is replicated once per salt, so
-every left/right pair still meets exactly once and results are unchanged.
+The work of a key in a join is the product of its rows on both sides. A key whose
+product is large (a hub user, a dense inner index, a common token, a full bucket)
+would put that work into one task. ``hot_keys`` finds such keys from the counts of
+both sides; ``salted_join`` cuts the rows of either side into tiles: every left row
+gets one left tile and is repeated for each right tile, every right row the other way
+round, so each left/right pair meets exactly once, in the task of its two tiles, and
+results are unchanged.
 
-Everything is lazy (no driver action). The hot-key table is cut to the
-``max_keys`` largest keys, so it has a fixed size bound and is broadcast;
-keys beyond that bound are still joined correctly (unsalted, AQE's skew-join
-split applies to them).
+Everything is lazy. The key table is joined like any other table: Spark broadcasts it if
+it is small and shuffles otherwise, so no key is left whole for the table's sake.
 """
 
 from __future__ import annotations
@@ -18,55 +17,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds at least this many rows on the salted side.
-DEFAULT_MIN_HOT_ROWS = 100_000
-# Rows of one hot key per salt value (one task's share of that key).
-DEFAULT_ROWS_PER_SALT = 25_000
-# Upper bound on the broadcast hot-key table.
-MAX_HOT_KEYS = 10_000
+# Pairs that one task may form for one key.
+PAIRS_PER_TILE = 10_000_000
+# Rows of one side in one tile; also splits a key that is hot on one side only.
+ROWS_PER_TILE = 100_000
 
 
 def hot_keys(
-    df: DataFrame,
+    left: DataFrame,
     keys: list[str],
-    min_rows: int | None = None,
-    max_keys: int = MAX_HOT_KEYS,
-    rows_per_salt: int | None = None,
+    right: DataFrame | None = None,
+    pairs_per_tile: int | None = None,
+    rows_per_tile: int | None = None,
 ) -> DataFrame:
-    """Lazy table ``keys + [n_salt]`` of at most ``max_keys`` hot keys.
+    """Lazy table ``keys + [n_left, n_right]``: the tiles of every key that needs more than one.
 
-    Defaults come from the module settings at call time, so a session can tune them.
+    Without ``right`` the join is of ``left`` with itself on ``keys``. Defaults come from
+    the module settings at call time, so a session can tune them.
     """
-    min_rows = DEFAULT_MIN_HOT_ROWS if min_rows is None else min_rows
-    rows_per_salt = DEFAULT_ROWS_PER_SALT if rows_per_salt is None else rows_per_salt
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        counts.where(F.col("_n") >= min_rows)
-        .orderBy(F.desc("_n"))
-        .limit(max_keys)  # size bound of the broadcast side, not a cap on results
-        .select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_salt)).cast("int").alias("n_salt"))
+    pairs = PAIRS_PER_TILE if pairs_per_tile is None else pairs_per_tile
+    rows = ROWS_PER_TILE if rows_per_tile is None else rows_per_tile
+    side = int(max(1, min(rows, pairs**0.5)))
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
+    if right is None:
+        counts = counts.withColumn("_nr", F.col("_nl"))
+    else:
+        counts = counts.join(right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr")), keys)
+    # a side shorter than a square tile's edge leaves the other one more rows
+    per_left = F.least(F.lit(rows), F.greatest(F.lit(side), F.floor(F.lit(pairs) / F.col("_nr"))))
+    per_right = F.least(F.lit(rows), F.greatest(F.lit(side), F.floor(F.lit(pairs) / F.col("_nl"))))
+    tiles = counts.select(
+        *keys, F.ceil(F.col("_nl") / per_left).cast("int").alias("n_left"), F.ceil(F.col("_nr") / per_right).cast("int").alias("n_right")
     )
+    return tiles.where((F.col("n_left") > 1) | (F.col("n_right") > 1))
 
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    hot: DataFrame | None,
-    salt_source: str | list[str] | None = None,
-    how: str = "inner",
-) -> DataFrame:
-    """Equi-join on ``keys`` that splits hot keys of ``left`` over ``n_salt`` tasks.
+def _tile(df: DataFrame, n: F.Column) -> F.Column:
+    """Tile of a row by the hash of all its columns (a recomputed task tiles its rows the same way)."""
+    return F.pmod(F.xxhash64(*df.columns), n).cast("int")
 
-    ``salt_source`` names left columns that vary within a key (row position,
-    partner id); their hash picks the salt deterministically, so a recomputed
-    task salts its rows the same way. ``how`` may be inner or left.
-    """
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
+    """Inner equi-join on ``keys`` that spreads the hot keys' pairs over tiles."""
     if hot is None:
-        return left.join(right, keys, how)
-    hb = F.broadcast(hot)
-    cols = [salt_source] if isinstance(salt_source, str) else list(salt_source or left.columns)
-    n_salt = F.coalesce(F.col("n_salt"), F.lit(1))
-    lft = left.join(hb, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), n_salt).cast("int")).drop("n_salt")
-    rgt = right.join(hb, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), n_salt - 1))).drop("n_salt")
-    return lft.join(rgt, keys + ["_salt"], how).drop("_salt")
+        return left.join(right, keys)
+    nl, nr = F.coalesce("n_left", F.lit(1)), F.coalesce("n_right", F.lit(1))
+    lft = left.join(hot, keys, "left").select(*left.columns, _tile(left, nl).alias("_tl"), F.explode(F.sequence(F.lit(0), nr - 1)).alias("_tr"))
+    rgt = right.join(hot, keys, "left").select(*right.columns, F.explode(F.sequence(F.lit(0), nl - 1)).alias("_tl"), _tile(right, nr).alias("_tr"))
+    return lft.join(rgt, [*keys, "_tl", "_tr"]).drop("_tl", "_tr")

@@ -58,7 +58,8 @@ def cur_error(spark, sf_dir):
 _A = """SELECT vec_id AS i, CAST(j - 1 AS BIGINT) AS j, CAST(embedding[j] AS DOUBLE) AS v
 FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS j FROM embeddings)"""
 
-_E = "SUM(CAST(floor(v * v * 1000000000.0) AS BIGINT))"
+# squares in units of the largest one / 1e15, summed exactly
+_E = "SUM(CAST(floor((v / (SELECT max(abs(v)) FROM a)) * (v / (SELECT max(abs(v)) FROM a)) * 1000000000000000.0) AS HUGEINT))"
 
 
 def _probs_sql(axis: str) -> str:

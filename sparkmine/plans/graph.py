@@ -1,50 +1,50 @@
-"""Friend-recommendation queries on the purchase graph of ``events``."""
+"""Friend-recommendation queries on the graph of ``events``."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from sparkmine.operators import graph as G
-from sparkmine.plans.inputs import INPUT_SQL, purchase_edges, purchase_events_as_lists
+from sparkmine.plans.inputs import INPUT_SQL, event_edges, events_as_lists
 from sparkmine.sources import text as io
 
 K = G.DEFAULT_TOP_K
 
 
 def friend_edges(spark, sf_dir):
-    return purchase_edges(spark, sf_dir).select("user", "friend")
+    return event_edges(spark, sf_dir).select("user", "friend")
 
 
 def adjacency_roundtrip(spark, sf_dir):
     """Edges -> ``user \\t f1,f2`` lines -> parsed lists -> edges with list positions."""
-    lines = io.format_adjacency(purchase_edges(spark, sf_dir))
+    lines = io.format_adjacency(event_edges(spark, sf_dir))
     adj = io.parse_adjacency(lines)
     return G.adjacency_to_edges(adj).select("user", F.col("pos").cast("int").alias("pos"), "friend")
 
 
 def mutual_friend_counts(spark, sf_dir):
-    return G.mutual_friend_counts(purchase_edges(spark, sf_dir))
+    return G.mutual_friend_counts(event_edges(spark, sf_dir))
 
 
 def friend_recommend_topk(spark, sf_dir):
-    return G.recommend_topk(G.mutual_friend_counts(purchase_edges(spark, sf_dir)), K)
+    return G.recommend_topk(G.mutual_friend_counts(event_edges(spark, sf_dir)), K)
 
 
 def friend_recommend_list(spark, sf_dir):
-    return G.recommend_lists(purchase_edges(spark, sf_dir), K)
+    return G.recommend_lists(event_edges(spark, sf_dir), K)
 
 
 def friend_recommend_multiset(spark, sf_dir):
-    """As-written semantics: every purchase is a list entry (duplicates, self-loops)."""
-    return G.recommend_lists(purchase_events_as_lists(spark, sf_dir), K, multiset=True)
+    """As-written semantics: every event is a list entry (duplicates, self-loops)."""
+    return G.recommend_lists(events_as_lists(spark, sf_dir), K, multiset=True)
 
 
 def friend_recommend_lines(spark, sf_dir):
-    return io.format_recommendations(G.recommend_lists(purchase_edges(spark, sf_dir), K))
+    return io.format_recommendations(G.recommend_lists(event_edges(spark, sf_dir), K))
 
 
-_E = INPUT_SQL["purchase_edges"]
-_L = INPUT_SQL["purchase_lists"]
+_E = INPUT_SQL["event_edges"]
+_L = INPUT_SQL["event_lists"]
 
 _COUNTS = f"""
 WITH e AS ({_E}),

@@ -11,23 +11,22 @@ from pyspark.sql import functions as F
 from sparkmine.sources.tables import table
 
 
-def purchase_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Directed graph: user ``user_id`` lists ``props.k`` of its purchases (distinct).
+def event_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directed graph: user ``user_id`` lists ``props.k`` of all its events (distinct).
     ``pos`` orders a user's list by friend id."""
     ev = table(spark, sf_dir, "events")
     return (
-        ev.where(F.col("event_type") == "purchase")
-        .select(F.col("user_id").alias("user"), F.get_json_object("props", "$.k").cast("bigint").alias("friend"))
+        ev.select(F.col("user_id").alias("user"), F.get_json_object("props", "$.k").cast("bigint").alias("friend"))
         .distinct()
         .withColumn("pos", F.col("friend"))
     )
 
 
-def purchase_events_as_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Multiset lists: every purchase event is one list entry, in event order
-    (duplicate purchases and self-loops kept)."""
+def events_as_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multiset lists: every event is one list entry, in event order
+    (duplicates and self-loops kept)."""
     ev = table(spark, sf_dir, "events")
-    return ev.where(F.col("event_type") == "purchase").select(
+    return ev.select(
         F.col("user_id").alias("user"),
         F.col("event_id").alias("pos"),
         F.get_json_object("props", "$.k").cast("bigint").alias("friend"),
@@ -35,12 +34,12 @@ def purchase_events_as_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 INPUT_SQL = {
-    "purchase_edges": (
+    "event_edges": (
         "SELECT DISTINCT user_id AS \"user\", CAST(json_extract_string(props, '$.k') AS BIGINT) AS friend "
-        "FROM events WHERE event_type = 'purchase'"
+        "FROM events"
     ),
-    "purchase_lists": (
+    "event_lists": (
         "SELECT user_id AS \"user\", event_id AS pos, CAST(json_extract_string(props, '$.k') AS BIGINT) AS friend "
-        "FROM events WHERE event_type = 'purchase'"
+        "FROM events"
     ),
 }

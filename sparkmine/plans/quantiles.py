@@ -49,7 +49,7 @@ def _type2_sql(src: str, x: str, by: str | None = None, legacy: bool = False) ->
             lo, hi = f"({lo} + 1)", f"({hi} + 1)"
             a = f"max(x) FILTER (WHERE rn = {lo})"
             b = f"max(x) FILTER (WHERE rn = {hi})"
-            cols.append(f"CAST(trunc((CAST({a} AS BIGINT) + CAST({b} AS BIGINT)) / 2) AS BIGINT) AS {name}")
+            cols.append(f"CAST((CAST({a} AS HUGEINT) + CAST({b} AS HUGEINT)) // 2 AS BIGINT) AS {name}")
         else:
             lo, hi = f"greatest(least({lo}, n), 1)", f"greatest(least({hi}, n), 1)"
             a = f"max(x) FILTER (WHERE rn = {lo})"

@@ -13,6 +13,7 @@ from sparkmine.sources.tables import table
 MAX_D = SIM.DEFAULT_MAX_DISTANCE
 NEAR_D = 0.2  # near-duplicate bound: short prefixes, cheap at any scale
 TOP = SIM.TOP_PAIRS
+SQL_TOP = 15
 
 
 def paragraphs(spark, sf_dir):
@@ -64,8 +65,9 @@ def closest_pairs(spark, sf_dir):
 
 
 def closest_pairs_sql(spark, sf_dir):
-    """The SQL form: a temp view of the near-duplicate pairs, top 15 by distance."""
-    near_duplicate_pairs(spark, sf_dir).createOrReplaceTempView("similar_pairs")
+    """The SQL form: a temp view of the closest pairs, top 15 by distance."""
+    sets = S.shingle_sets(paragraphs(spark, sf_dir))
+    SIM.closest_pairs_exact(sets, SQL_TOP).createOrReplaceTempView("similar_pairs")
     return spark.sql(
         "SELECT idA, idB, distance FROM similar_pairs WHERE idA <> idB ORDER BY distance ASC, idA, idB LIMIT 15"
     )
@@ -80,6 +82,20 @@ def evidence_lines(spark, sf_dir):
     return io.format_evidence(shared_shingle_evidence(spark, sf_dir)).select("value")
 
 
+def shingle_vocabulary_size(spark, sf_dir):
+    return S.vocabulary_size(S.shingle_sets(paragraphs(spark, sf_dir)))
+
+
+def paragraph_shingles(spark, sf_dir):
+    """The (paragraph, shingle) rows behind the sparse binary vectors."""
+    return S.set_rows(S.shingle_sets(paragraphs(spark, sf_dir)))
+
+
+def paragraph_file_roundtrip(spark, sf_dir):
+    """Whole texts, line breaks and tabs included, through text files in the shared folder."""
+    return io.parse_paragraphs(io.through_files(io.format_paragraphs(paragraphs(spark, sf_dir), escape=True)), escaped=True)
+
+
 def minhash_pairs(spark, sf_dir):
     """LSH near-duplicate pairs (banded MinHash, exact distances, approximate recall)."""
     return SIM.minhash_pairs(S.shingle_sets(paragraphs(spark, sf_dir)), NEAR_D,
@@ -87,8 +103,9 @@ def minhash_pairs(spark, sf_dir):
 
 
 def pic_clusters(spark, sf_dir):
-    """Power iteration clustering of the MinHash similarity graph (as the original job)."""
-    return C.pic_clusters(SIM.similarity_edges(minhash_pairs(spark, sf_dir)))
+    """Power iteration clustering of the MinHash similarity graph, a row for every paragraph."""
+    assign = C.pic_clusters(SIM.similarity_edges(minhash_pairs(spark, sf_dir)))
+    return C.with_isolated(assign, paragraphs(spark, sf_dir))
 
 
 def cluster_lines(spark, sf_dir):
@@ -135,7 +152,9 @@ def _pairs_sql(bound: float) -> str:
     return _PAIRS.replace(f"WHERE distance < {MAX_D}", f"WHERE distance < {bound}")
 
 
-_TOP = f"SELECT * FROM ({_PAIRS}) ORDER BY distance, idA, idB LIMIT {TOP}"
+# every pair that shares a shingle
+_ALL = _pairs_sql(1.0)
+_TOP = f"SELECT * FROM ({_ALL}) ORDER BY distance, idA, idB LIMIT {TOP}"
 
 _EVIDENCE = f"""
 WITH t AS ({_TOP}),
@@ -156,6 +175,9 @@ QUERIES = {
     "closest_pairs_sql": closest_pairs_sql,
     "shared_shingle_evidence": shared_shingle_evidence,
     "evidence_lines": evidence_lines,
+    "shingle_vocabulary_size": shingle_vocabulary_size,
+    "paragraph_shingles": paragraph_shingles,
+    "paragraph_file_roundtrip": paragraph_file_roundtrip,
     "minhash_pairs": minhash_pairs,
     "pic_clusters": pic_clusters,
     "cluster_lines": cluster_lines,
@@ -170,11 +192,17 @@ ORACLES = {
     "near_duplicate_pairs": _pairs_sql(NEAR_D),
     "similarity_edges": f"SELECT idA AS src, idB AS dst, 1.0 - distance AS similarity FROM ({_PAIRS})",
     "closest_pairs": _TOP,
-    "closest_pairs_sql": f"SELECT * FROM ({_pairs_sql(NEAR_D)}) WHERE idA <> idB ORDER BY distance, idA, idB LIMIT 15",
+    "closest_pairs_sql": f"SELECT * FROM ({_ALL}) WHERE idA <> idB ORDER BY distance, idA, idB LIMIT {SQL_TOP}",
     "shared_shingle_evidence": _EVIDENCE,
     "evidence_lines": (
-        "SELECT '<' || idA || ' - ' || idB || '> ' || shingle || ' <' || offA || ' - ' || offB || '> ' AS value "
-        f"FROM ({_EVIDENCE})"
+        "SELECT '<' || idA || ' - ' || idB || '> ' || "
+        "replace(replace(replace(replace(shingle, chr(92), chr(92) || 's'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"
+        f" || ' <' || offA || ' - ' || offB || '> ' AS value FROM ({_EVIDENCE})"
     ),
+    "shingle_vocabulary_size": f"SELECT count(DISTINCT shingle) AS n_shingles FROM ({_SETS})",
+    "paragraph_shingles": _SETS,
+    "paragraph_file_roundtrip": """
+SELECT doc_id AS id, CASE WHEN left(text, 1) IN ('"', chr(65533)) THEN substring(text, 2, length(text) - 3) ELSE text END AS para
+FROM documents WHERE length(text) > 0""",
     # minhash_pairs, pic_clusters, cluster_lines: approximate / iterative -> rows-only check
 }

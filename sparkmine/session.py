@@ -7,6 +7,12 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# Memory of a local session, whose driver does all the work; a cluster sets its own.
+LOCAL_MEMORY = "8g"
+
+_SCRATCH: list[tempfile.TemporaryDirectory] = []
+_STORED: list[str] = []
+
 # Settings every job wants; all are plain Spark SQL options.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -35,9 +41,9 @@ def get_session(
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    if master and master.startswith("local"):
+    if master and master.startswith("local") and "SPARK_DRIVER_MEMORY" not in os.environ:
         # local mode: the driver JVM is the only executor
-        conf["spark.driver.memory"] = "16g"
+        conf["spark.driver.memory"] = LOCAL_MEMORY
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -64,12 +70,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
     elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="sparkmine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
+        # one process, one machine: a scratch folder that goes with the process
+        _SCRATCH.append(tempfile.TemporaryDirectory(prefix="sparkmine-", ignore_cleanup_errors=True))
+        sc.setCheckpointDir(_SCRATCH[-1].name)
     else:
         raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS / object store) on a cluster")
     return sc.getCheckpointDir()
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the tables that ``materialize`` has written for this session.
+
+    To be called when the results that were built on them have been stored.
+    """
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _STORED:
+        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def materialize(df, name: str):
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
@@ -83,4 +102,5 @@ def materialize(df, name: str):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/sparkmine/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    _STORED.append(path)
     return spark.read.parquet(path)

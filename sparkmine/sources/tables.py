@@ -20,11 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a frame whose scan yields fewer tasks than the cluster has cores.
 
-    Used before CPU-heavy per-row work (shingling): a file with a single row group
-    is read by one task. An input of at least as many files as cores is left
-    alone (no shuffle).
+    Used before CPU-heavy per-row work (shingling). The scan's own split count
+    decides (a large splittable file has many splits), so only an input smaller
+    than one split per core is dealt out; anything larger is not shuffled.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < want:
+    if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
     return df

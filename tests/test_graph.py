@@ -26,8 +26,8 @@ def test_dirty_multiset(spark):
 
 
 def test_salted_join_same_result(spark):
-    assert recs(spark, SMALL, skew_min_rows=2) == recs(spark, SMALL)
-    assert recs(spark, DIRTY, multiset=True, skew_min_rows=1) == recs(spark, DIRTY, multiset=True)
+    assert recs(spark, SMALL, pairs_per_tile=4) == recs(spark, SMALL)
+    assert recs(spark, DIRTY, multiset=True, pairs_per_tile=1) == recs(spark, DIRTY, multiset=True)
 
 
 def test_no_direct_friend_or_self(spark):

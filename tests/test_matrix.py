@@ -47,7 +47,7 @@ def test_salted_product_and_duplicates(spark):
     b = spark.createDataFrame([(0, 0, 5), (0, 1, 6)], "i long, j long, v long")
     want = [(0, 0, 15), (0, 1, 18), (1, 0, 15), (1, 1, 18), (2, 0, 20), (2, 1, 24)]
     assert cells(M.matmul(a, b)) == want
-    assert cells(M.matmul(a, b, skew_min_rows=1)) == want
+    assert cells(M.matmul(a, b, pairs_per_tile=1)) == want
 
 
 def test_sorted_lines(spark):
