@@ -16,8 +16,8 @@ def friend_edges(spark, sf_dir):
 
 
 def adjacency_roundtrip(spark, sf_dir):
-    """Edges -> ``user \\t f1,f2`` lines -> parsed lists -> edges with list positions."""
-    lines = io.format_adjacency(event_edges(spark, sf_dir))
+    """Edges -> ``user \\t f1,f2`` lines in text files -> parsed lists -> edges with list positions."""
+    lines = io.through_files(io.format_adjacency(event_edges(spark, sf_dir)), "adjacency")
     adj = io.parse_adjacency(lines)
     return G.adjacency_to_edges(adj).select("user", F.col("pos").cast("int").alias("pos"), "friend")
 
@@ -40,7 +40,7 @@ def friend_recommend_multiset(spark, sf_dir):
 
 
 def friend_recommend_lines(spark, sf_dir):
-    return io.format_recommendations(G.recommend_lists(event_edges(spark, sf_dir), K))
+    return io.through_files(io.format_recommendations(G.recommend_lists(event_edges(spark, sf_dir), K)), "recommendations")
 
 
 _E = INPUT_SQL["event_edges"]

@@ -36,8 +36,8 @@ def matrix_row_vectors(spark, sf_dir):
 
 
 def matmul_sorted_lines(spark, sf_dir):
-    """Tagged CSV lines -> parse -> product -> global sort -> ``row,col,value`` lines."""
-    lines = io.format_tagged_matrix(supplier_part(spark, sf_dir), part_linenumber(spark, sf_dir))
+    """Tagged CSV lines in text files -> parse -> product -> global sort -> ``row,col,value`` lines."""
+    lines = io.through_files(io.format_tagged_matrix(supplier_part(spark, sf_dir), part_linenumber(spark, sf_dir)), "cells")
     a, b = M.split_tagged(io.parse_tagged_matrix(lines))
     return io.format_matrix_cells(M.sorted_cells(M.matmul(a, b)))
 

@@ -30,9 +30,9 @@ def quartiles_legacy(spark, sf_dir):
 
 
 def quartiles_line(spark, sf_dir):
-    """Numbers as text lines -> parse -> legacy quartiles -> ``q1 \\t q2 \\t q3 \\t``."""
+    """Numbers as text files -> parse -> legacy quartiles -> ``q1 \\t q2 \\t q3 \\t``."""
     lines = _qty(spark, sf_dir).select(F.col("value").cast("string").alias("value"))
-    q = Q.exact_quantiles(io.parse_numbers(lines), "value", legacy=True)
+    q = Q.exact_quantiles(io.parse_numbers(io.through_files(lines, "numbers")), "value", legacy=True)
     return io.format_quartile_line(q, ["p25", "p50", "p75"])
 
 

@@ -79,7 +79,7 @@ def shared_shingle_evidence(spark, sf_dir):
 
 
 def evidence_lines(spark, sf_dir):
-    return io.format_evidence(shared_shingle_evidence(spark, sf_dir)).select("value")
+    return io.through_files(io.format_evidence(shared_shingle_evidence(spark, sf_dir)), "evidence")
 
 
 def shingle_vocabulary_size(spark, sf_dir):
