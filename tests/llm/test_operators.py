@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from conftest import SMALL
+from odd_rows import no_docs, odd_docs, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 
 from sparkmine.llm import bin_slack, decontaminate, fingerprint, html_text, kd_shards, langid, probminhash, quality_fm, toxicity, url_rules
@@ -112,9 +113,6 @@ def test_html(spark):
     assert {i: html_text.rendered(source[i]) for i in source} == dict(got)
 
 
-DIMS = {"doc_id": F.lit(0)}
-
-
 def dims():
     return {"doc_id": F.col("doc_id"), "n_chars": F.log1p(F.col("n_chars")), "source": F.col("source"), "lang": F.col("lang")}
 

@@ -4,6 +4,7 @@ from collections import Counter
 
 import public_tokenizers
 from conftest import SMALL
+from odd_rows import no_docs, odd_docs, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
