@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -56,6 +57,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark, rows: int):
+    """Within, Arrow batches hold at most so many rows, which bounds a task's memory where rows are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def local_table(spark, columns: dict[str, pa.Array]) -> DataFrame:
     """A table from a few values that the driver holds."""
     return spark.createDataFrame(pa.table(columns))

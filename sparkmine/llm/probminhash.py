@@ -8,9 +8,11 @@ with the probability Jaccard similarity of their weighted sets.
 
 Registers are cut into bands; texts with an equal band are candidates. Exact copies count as
 one text. Candidates are first a bucket's texts against its least text; components of the
-verified links then tell which buckets hold texts of different components, and there all texts
-outside the largest component are held against all texts of other components. So every
-candidate link between components is tested, and no group is expanded into all its pairs.
+verified links then tell which buckets hold texts of different components, and there the texts
+outside the largest component are held against the texts of other components. Before that, a bound
+from the shingles that no other text has puts aside, with all their pairs, texts that cannot
+reach the threshold. So every candidate link between components is decided, and no group is
+expanded into all its pairs.
 A pair whose registers agree far less than the threshold is dropped, the rest is verified
 by the exact similarity.
 
@@ -18,7 +20,7 @@ Defined results: null text is the empty text. Texts without a word are alike onl
 fewer than five words make one shingle; repeated rows and ids all get a row; a row without an
 id gets a class through its text; a class's id is its least document id; empty tables give
 no rows. Whole texts count. At similarity 0.8 the bands miss one pair in 20,000 and the register
-test one in a million.
+test one in 200,000.
 """
 
 from __future__ import annotations
@@ -30,12 +32,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.llm.common import SIMILARITY, each_text, mix64, saved, text_shingles
+from sparkmine.llm.common import SIMILARITY, arrow_rows, each_text, mix64, saved, text_shingles
 from sparkmine.llm.components import components
 
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-SLACK = 0.2  # registers may agree this much less than the threshold (over five standard errors)
+SLACK = 0.16  # registers may agree this much less than the threshold (four and a half standard errors)
+PRUNINGS = 2  # rounds that put aside texts which cannot have a link left
+TEXT_ROWS, PAIR_ROWS = 2_000, 500  # rows that an Arrow batch of texts, or of pairs of sets, may hold
 
 
 def weighted_shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -151,62 +155,124 @@ def _agreement(a: Column, b: Column) -> Column:
     return agree.asNondeterministic()(a, b)
 
 
-def verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def shingle_table(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, h, c, weight): distinct shingles, their counts and their whole weight, of these nodes' texts."""
+
+    @F.pandas_udf("h array<long>, c array<int>, weight double")
+    def shingled(t: pd.Series) -> pd.DataFrame:
+        sets = [weighted_shingles(x) for x in each_text(t)]
+        return pd.DataFrame({"h": [h.view(np.int64) for h, _ in sets], "c": [c.astype(np.int32) for _, c in sets], "weight": [float(weights(c).sum()) for _, c in sets]})
+
+    own = texts.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return own.select("node", shingled.asNondeterministic()("text").alias("s")).select("node", "s.*")
+
+
+def verified(pairs: DataFrame, reps: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Of the pairs (a, b) of nodes those whose exact similarity reaches ``threshold``.
 
-    Only texts that stand in a pair with enough agreeing registers are shingled again.
+    Whole sets travel only for pairs with enough agreeing registers.
     """
     sig_a, sig_b = (reps.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}")) for c in "ab")
     likely = pairs.join(sig_a, "a").join(sig_b, "b").withColumn("agree", _agreement(F.col("sig_a"), F.col("sig_b")))
     likely = saved(likely.filter(F.col("agree") >= threshold - SLACK).select("a", "b"), "likely")
-    nodes = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
-
-    @F.pandas_udf("h binary, c binary")
-    def shingled(t: pd.Series) -> pd.DataFrame:
-        sets = [weighted_shingles(x) for x in each_text(t)]
-        return pd.DataFrame({"h": [h.tobytes() for h, _ in sets], "c": [c.astype(np.int32).tobytes() for _, c in sets]})
-
-    needed = saved(texts.join(nodes, "node", "left_semi").dropDuplicates(["node"]).select("node", shingled.asNondeterministic()("text").alias("s")), "shingles")
 
     @F.pandas_udf("double")
     def similarity(ha: pd.Series, ca: pd.Series, hb: pd.Series, cb: pd.Series) -> pd.Series:
-        read = lambda h, c: (np.frombuffer(h, np.uint64), np.frombuffer(c, np.int32))
+        read = lambda h, c: (np.asarray(h, np.int64).view(np.uint64), np.asarray(c))
         return pd.Series([probability_jaccard(read(w, x), read(y, z)) for w, x, y, z in zip(ha, ca, hb, cb, strict=True)], dtype="float64")
 
-    set_a, set_b = (needed.select(F.col("node").alias(c), F.col("s").alias(f"s_{c}")) for c in "ab")
-    both = likely.join(set_a, "a").join(set_b, "b")
-    return both.withColumn("sim", similarity.asNondeterministic()("s_a.h", "s_a.c", "s_b.h", "s_b.c")).filter(F.col("sim") >= threshold).select("a", "b")
+    set_a, set_b = (sets.select(F.col("node").alias(c), F.col("h").alias(f"h_{c}"), F.col("c").alias(f"c_{c}")) for c in "ab")
+    both = likely.join(set_a, "a").join(set_b, "b").withColumn("sim", similarity.asNondeterministic()("h_a", "c_a", "h_b", "c_b"))
+    with arrow_rows(pairs.sparkSession, PAIR_ROWS):
+        return saved(both.filter(F.col("sim") >= threshold).select("a", "b"), "links")
+
+
+def mixed(placed: DataFrame) -> DataFrame:
+    """Rows (bucket, node, comp) of the buckets that hold several components, with the largest as ``main``."""
+    sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    several = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("main")).filter("comps > 1")
+    return placed.select("bucket", "node", "comp").join(several.select("bucket", "main"), "bucket")
+
+
+def shares(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, size, weight, common, alone): shingles in all, their weight, how many some other of
+    the nodes has too, and the weight of those that none has."""
+    own = sets.join(nodes, "node", "left_semi")
+    each = own.select("node", F.explode_outer(F.arrays_zip("h", "c")).alias("s")).select("node", F.col("s.h").alias("h"), F.col("s.c").alias("c"))
+    single = each.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("c").alias("c")).filter("n = 1")
+    alone = single.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum(1.0 + F.log(F.col("c"))).alias("alone"))
+    size = F.array_size("h")
+    return own.select("node", size.alias("size"), "weight").join(alone, "node", "left").select(
+        "node", "size", "weight", (F.col("size") - F.coalesce("n", F.lit(0))).alias("common"), F.coalesce("alone", F.lit(0.0)).alias("alone")
+    )
+
+
+def most_alike(size, weight, common, alone, other_size, other_weight, other_common, other_alone) -> Column:
+    """The largest probability Jaccard that two sets can have, told by their shares.
+
+    A set has at least ``q`` of weight that the other lacks: that of its lone shingles, and 1 for
+    each shingle beyond those that the other has in common with anyone. The sum over common shingles d of
+    1 / (A / a_d + q_B / b_d) is concave, so at most 1 / (A / (A - q_A) + q_B / (B - q_B)).
+    """
+    qa = F.greatest(alone, size - other_common)
+    qb = F.greatest(other_alone, other_size - common)
+    left, right = weight - qa, other_weight - qb
+    return F.when((left > 0) & (right > 0), 1.0 / (weight / left + qb / right)).otherwise(0.0) + 1e-9
+
+
+def able(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The rows (bucket, node, comp) whose node could reach ``threshold`` with another text of its bucket, with its shares."""
+    told = rows.select("bucket", "node", "comp").join(saved(shares(sets, rows.select("node").distinct()), "shares"), "node")
+    best = told.groupBy("bucket").agg(F.max("common").alias("mc"), F.min("size").alias("ms"), F.max("weight").alias("mw"))
+    bound = most_alike(F.col("size"), F.col("weight"), F.col("common"), F.col("alone"), F.col("ms"), F.col("mw"), F.col("mc"), F.lit(0.0))
+    return told.join(best, "bucket").filter(bound >= threshold).drop("mc", "ms", "mw")
+
+
+def links_between(placed: DataFrame, tested: DataFrame, reps: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Verified links (a, b) between different components of the same bucket.
+
+    Texts that are too unlike all others to have any link left are put aside first; each
+    round makes more shingles lone, so a few rounds leave little.
+    """
+    rows = saved(mixed(placed), "open")
+    for _ in range(PRUNINGS):
+        rows = able(rows, sets, threshold)
+        shared = rows.select("node", "size", "weight", "common", "alone").distinct()
+        rows = saved(mixed(rows).join(shared, "node"), "open")
+    x = rows.filter("comp <> main").select("bucket", *(F.col(c).alias(f"x_{c}") for c in ("node", "comp", "size", "weight", "common", "alone")))
+    bound = most_alike(*(F.col(f"{p}{c}") for p in ("x_", "") for c in ("size", "weight", "common", "alone")))
+    across = x.join(rows, (x["bucket"] == rows["bucket"]) & (F.col("x_comp") != F.col("comp")) & (bound >= threshold))
+    pairs = across.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
+    return verified(pairs.join(tested, ["a", "b"], "left_anti"), reps, sets, threshold)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
     """(id, class_id): every row of ``docs`` with the least id of its class of near copies."""
-    signed = saved(signatures(docs, id_col, text_col), "signed")
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        signed = saved(signatures(docs, id_col, text_col), "signed")
     # exact copies are one node: the least of those with equal content
     reps = saved(
         signed.groupBy("key").agg(F.min("node").alias("node"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n")), "reps"
     )
-    texts = numbered(docs, id_col, text_col).select("node", "text")
     rows = reps.select("node", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = saved(rows.join(shared.drop("n"), "bucket"), "members")
-    links = verified(members.filter("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), reps, texts, threshold)
-    links = saved(links, "links")
-    comps = saved(components(links), "comps")
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        sets = saved(shingle_table(numbered(docs, id_col, text_col).select("node", "text"), members.select("node").distinct()), "shingles")
 
-    # buckets whose texts lie in different components
+    tested = members.filter("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    comps = saved(components(verified(tested, reps, sets, threshold)), "comps")
     placed = members.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-    sizes = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("main")).filter("comps > 1")
-    open_rows = saved(placed.join(mixed.select("bucket", "main"), "bucket"), "open")
-    rest = open_rows.filter("comp <> main").select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx"))
-    across = rest.join(open_rows, "bucket").filter("cx <> comp").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    tested = members.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    more = saved(verified(across.join(tested, ["a", "b"], "left_anti"), reps, texts, threshold), "links")
-    comps = saved(components(links.union(more)), "comps")
+    more = links_between(placed, tested, reps, sets, threshold)
+    # the new links join whole components
+    named = comps.withColumnRenamed("comp", "c")
+    ends = more.join(named.withColumnRenamed("node", "a").withColumnRenamed("c", "ca"), "a", "left").join(named.withColumnRenamed("node", "b").withColumnRenamed("c", "cb"), "b", "left")
+    merged = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
 
     copies = reps.filter("n > 1").select("key", F.col("node").alias("rep"))
-    return (
+    found = (
         signed.select("id", "node", "key").join(copies, "key", "left").withColumn("rep", F.coalesce("rep", "node"))
-        .join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-        .select(F.col("id").alias(id_col), F.coalesce("comp", "rep").alias("class_id"))
+        .join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        .join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("whole")), "comp", "left")
     )
+    return found.select(F.col("id").alias(id_col), F.coalesce("whole", "comp").alias("class_id"))
