@@ -103,7 +103,10 @@ def learn(
     d = (1 << WORD_BITS) + STATS
     if len(y) == 0 or y.min() == y.max():
         return Machine(0.0, np.zeros(d, np.float32), np.zeros((d, FACTORS), np.float32), np.zeros(STATS, np.float32), np.ones(STATS, np.float32))
+    # an order of rows that does not depend on how Spark deals them out
     stats = np.stack(got["stats"].to_numpy()).astype(np.float32)
+    order = np.lexsort((y, *stats.T))
+    got, y, stats = got.iloc[order], y[order], stats[order]
     center, scale = stats.mean(0), stats.std(0) + 1e-3
     x = np.zeros((len(y), d), np.float32)
     for i, idx in enumerate(got["idx"]):

@@ -8,7 +8,10 @@ from odd_rows import no_docs, odd_docs, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
+from test_operators import brute_classes, brute_contaminated, check_packing
+
 from sparkmine.llm import langid, probminhash, quality_fm
+from sparkmine.llm.common import text_shingles
 
 
 def ids(df):
@@ -37,13 +40,24 @@ def test_stages_take_effect_and_keep_columns(spark):
     assert four.columns == docs.columns and 0 < four.count() <= docs.count()
 
 
-def test_run_is_its_stages_in_order(spark):
+def test_run_against_plain_stages(spark):
+    """run() on the whole small tables, against plain Python over lists of rows."""
     assert [n for n, _ in P.STAGES] == ["language", "quality", "near_duplicates", "decontamination", "packing"]
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    for _, stage in P.STAGES:
-        docs = stage(spark, docs, SMALL)
-    got, want = (Counter((r.doc_id, r.piece, r.length, r.ids_crc32) for r in d.collect()) for d in (P.run(spark, SMALL), docs))
-    assert got == want and got
+    own = docs.select("doc_id", "text", "n_chars").collect()
+    p = langid.learn_profiles(docs)
+    own = [r for r in own if (a := langid.nearest(r.text, p))[0] != "und" and a[1] >= P.MIN_LANGUAGE_SCORE]
+    m = quality_fm.learn(docs.filter(F.col("doc_id").isin([r.doc_id for r in own])), spark.read.parquet(f"{SMALL}/labels.parquet"))
+    own = [r for r in own if quality_fm.machine_score(m, *quality_fm.features(r.text, r.n_chars)) >= 0]
+    least = {min(own[i].doc_id for i in g) for g in brute_classes([(r.doc_id, r.text) for r in own])}
+    own = [r for r in own if r.doc_id in least]
+    items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    told = {h for _, t in items for h in text_shingles(t).tolist()}
+    may = [(r.doc_id, r.text) for r in own if told & set(text_shingles(r.text).tolist())]
+    bad = {d for d, _ in brute_contaminated(may, items)}
+    own = [(r.doc_id, r.text) for r in own if r.doc_id not in bad]
+    assert bad and own
+    check_packing(P.run(spark, SMALL).collect(), own)
 
 
 def test_odd_rows(spark, odd_docs, no_docs, tmp_path):
