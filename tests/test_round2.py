@@ -92,3 +92,15 @@ def test_mutual_friends_with_their_list(spark):
     edges = spark.createDataFrame([(1, 2), (1, 3), (4, 2), (4, 3)], "user long, friend long")
     got = graph.mutual_friend_counts(edges, with_via=True)
     assert sorted(rows(got)) == [(2, 3, 2, [1, 4]), (3, 2, 2, [1, 4])]
+
+
+def test_release_deletes_materialized_tables(spark):
+    import os
+
+    from sparkmine import session
+
+    df = session.materialize(spark.range(5), "five")
+    path = session._STORED[-1].removeprefix("file:")
+    assert df.count() == 5 and os.path.isdir(path)
+    session.release(spark)
+    assert not os.path.exists(path) and not session._STORED
