@@ -239,9 +239,13 @@ def links_between(placed: DataFrame, tested: DataFrame, reps: DataFrame, sets: D
         rows = able(rows, sets, threshold)
         shared = rows.select("node", "size", "weight", "common", "alone").distinct()
         rows = saved(mixed(rows).join(shared, "node"), "open")
-    x = rows.filter("comp <> main").select("bucket", *(F.col(c).alias(f"x_{c}") for c in ("node", "comp", "size", "weight", "common", "alone")))
+    rows = rows.join(reps.select("node", "bands"), "node")
+    x = rows.filter("comp <> main").select(*(F.col(c).alias(f"x_{c}") for c in ("bucket", "node", "comp", "size", "weight", "common", "alone", "bands")))
     bound = most_alike(*(F.col(f"{p}{c}") for p in ("x_", "") for c in ("size", "weight", "common", "alone")))
-    across = x.join(rows, (x["bucket"] == rows["bucket"]) & (F.col("x_comp") != F.col("comp")) & (bound >= threshold))
+    # a pair that shares several buckets is formed in the first of them only
+    first = F.get(F.array_intersect("x_bands", "bands"), 0) == F.col("bucket")
+    once = (F.col("comp") == F.col("main")) | (F.col("x_node") < F.col("node"))
+    across = x.join(rows, (F.col("x_bucket") == F.col("bucket")) & (F.col("x_comp") != F.col("comp")) & once & (bound >= threshold) & first)
     pairs = across.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
     return verified(pairs.join(tested, ["a", "b"], "left_anti"), reps, sets, threshold)
 
