@@ -13,15 +13,22 @@ def _both(edges: DataFrame) -> DataFrame:
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Hang every node's larger (or not larger) neighbours on the least of its neighbours and itself."""
-    near = _both(edges) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    """Hang every node's larger (or not larger) neighbours on the least of its neighbours and itself.
+
+    ``edges`` have the larger node first; so has the result, which may repeat an edge.
+    """
+    near = _both(edges) if large else edges
     least = near.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
     hung = near.join(least, "a")
     if large:
-        out = hung.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        out = hung.select("b", "m").union(least.select(F.col("a").alias("b"), "m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return out.filter(F.col("a") != F.col("b")).distinct()
+        return hung.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return hung.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other at most, and on one that hangs on none."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).union(edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("n").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).filter("hangs > 1 OR hangs = 1 AND holds = 1").isEmpty()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -32,13 +39,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     sum and of a join that Spark may split.
     """
     now = saved(edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    mark = None
     for _ in range(rounds):
-        now = saved(_star(_star(now, large=True), large=False), "edges")
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == mark:
+        if _settled(now):
             break
-        mark = seen
+        now = saved(_star(_star(now, large=True), large=False).distinct(), "edges")
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
