@@ -51,9 +51,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     node = _free(docs, "node")
     marked = docs.withColumn(node, probminhash.node_number(F.col("doc_id"), F.col("text")))
     classes = probminhash.near_duplicates(marked, node, "text")
-    kept = saved(classes.filter(F.col(node) == F.col("class_id")).groupBy(node).agg(F.count(F.lit(1)).alias("n")), "kept")
-    once = marked.join(kept.filter("n = 1"), node, "left_semi")
-    more = kept.filter("n > 1")  # rows that repeat an id
+    # rows of a node that stand for their class: none is dropped, more are rows that repeat an id
+    stands = F.count_if(F.col(node) == F.col("class_id"))
+    other = saved(classes.groupBy(node).agg(stands.alias("n")).filter("n <> 1"), "other")
+    once = marked.join(other, node, "left_anti")
+    more = other.filter("n > 1")
     if more.isEmpty():
         return once.select(*docs.columns)
     return once.union(marked.join(more, node, "left_semi").dropDuplicates([node])).select(*docs.columns)
