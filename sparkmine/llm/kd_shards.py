@@ -2,14 +2,16 @@
 
 Each node holds a number of shards. It is split along its widest dimension (largest minus
 least coordinate, each dimension scaled to the same number of cells) at the weighted quantile
-that gives either side bytes in proportion to its shards, until every leaf is one shard. The
-order along a dimension is the coordinate, then a hash of the text, then a hash of the id, so a
-cut can fall inside a value that very many rows share, and equal texts stay side by side.
+that gives either side bytes in proportion to its shards, until every leaf is one shard. A
+text has one coordinate in each dimension, the least of its rows'. The order along a dimension is
+the coordinate, then a hash of the text, then a hash of the id, so a cut can fall inside a value
+that very many rows share, and equal texts lie side by side in every dimension.
 
 The quantile is found in digits of that order: for all nodes of a level at once, one
 distributed sum of bytes by (node, digit) tells in which cell the cut lies, and the next
 sum looks into that cell only. A cut that may fall between texts without missing its target by
-more than ``TOLERANCE`` of a shard does so; larger groups of equal texts are cut by id.
+more than ``TOLERANCE`` of a shard does so; larger groups of equal texts are cut by id, at most
+one by a cut (unlike texts with equal coordinate and equal 24-bit hash count as one group).
 
 Defined results: null text is the empty text (size 16); null metadata has coordinate 0; rows
 that repeat id and text stay together; slots go by id hash, id, checksum and size; an empty
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmine.llm.common import local_table, saved
+from sparkmine.llm.common import local_table, partitions, saved
 
 SHARDS = 40
 ROW_BYTES = 16
@@ -79,6 +81,22 @@ def scaled(docs: DataFrame, dims: dict[str, Column]) -> list[Column]:
     return out
 
 
+def _by_text(rows: DataFrame, dims: int, parts: int) -> DataFrame:
+    """The rows with each coordinate the least among the rows of equal ``key``.
+
+    Keys with very many rows, fewer than 4 x ``parts``, are broadcast, so none meets in one task.
+    """
+    own = [f"c{d}" for d in range(dims)]
+    least = saved(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *(F.min(c).alias(f"least_{c}") for c in own)), "least")
+    many = least.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // (4 * parts)
+    hot = F.broadcast(least.filter(F.col("n") > many).drop("n"))
+    few = least.filter((F.col("n") > 1) & (F.col("n") <= many)).drop("n")
+    kept = [c for c in rows.columns if c != "key" and c not in own]
+    placed = [F.coalesce(f"least_{c}", c).alias(c) for c in own]
+    among_many = rows.join(hot, "key").select(*kept, *placed)
+    return among_many.union(rows.join(hot, "key", "left_anti").join(few, "key", "left").select(*kept, *placed))
+
+
 def _find_cuts(rows: DataFrame, nodes: list[Node], dims: int, near: float) -> None:
     """Set dimension and cut of all nodes of a level."""
     spark = rows.sparkSession
@@ -124,10 +142,11 @@ def kd_shards(
     rows = saved(
         docs.select(
             F.col(id_col).alias("id"), (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size"), F.crc32(text).alias("crc"),
-            tie.alias("tie"), *(c.alias(f"c{i}") for i, c in enumerate(scaled(docs, dims))),
+            tie.alias("tie"), F.xxhash64(text).alias("key"), *(c.alias(f"c{i}") for i, c in enumerate(scaled(docs, dims))),
         ),
         "metadata",
     )
+    rows = saved(_by_text(rows, len(dims), partitions(docs)), "placed")
     total = rows.agg(F.sum("size")).first()[0] or 0
     spark = docs.sparkSession
     rows = rows.withColumn("node", F.lit(0).cast("long"))

@@ -140,6 +140,18 @@ def test_shards_are_near_equal_and_split_hot_groups(spark):
     assert got.sort_values("doc_id").reset_index(drop=True).equals(again.sort_values("doc_id").reset_index(drop=True))
 
 
+def test_shards_split_few_groups_of_equal_texts(spark):
+    """Copies far apart in id, source, length and language meet in one shard, but for one group by a cut."""
+    data = [(i, prose(f"copy{i % 150}", 10 + i % 150 % 20), ("en", "de")[i // 150 % 2], f"s{i % 11}", 100 + i % 37) for i in range(900)]
+    data += [(900 + i, None if i % 2 else "", "en", f"s{i % 11}", i) for i in range(300)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    got = kd_shards.kd_shards(df, dims(), shards=7).toPandas()
+    assert len(got) == len(data)
+    assert (got.groupby("text_crc32")["shard"].nunique() > 1).sum() <= 6
+    load = got.groupby("shard")["size"].sum()
+    assert len(load) == 7 and load.max() / load.mean() < 1.03 and load.min() / load.mean() > 0.97
+
+
 def brute_contaminated(docs, items, threshold=0.8):
     def cut(t):
         return re.findall(r"\w+", (t or "").lower())
