@@ -5,7 +5,7 @@ but the last return the columns of ``documents``; the last returns the packed pi
 
 Defined results: rows with null or letterless text go at the first stage; a row without an id
 is kept or dropped by its text; of rows that repeat an id and are in one class of
-copies, one stays; empty tables pass through empty; other columns stay as they are, whatever
+copies, one stays, and unlike texts under one id are kept or dropped each on its own; empty tables pass through empty; other columns stay as they are, whatever
 their names.
 """
 
@@ -48,22 +48,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the least id, of each class of near copies."""
-    node = _free(docs, "node")
-    marked = docs.withColumn(node, probminhash.node_number(F.col("doc_id"), F.col("text")))
-    classes = probminhash.near_duplicates(marked, node, "text")
-    # rows of a node that stand for their class: none is dropped, more are rows that repeat an id
-    stands = F.count_if(F.col(node) == F.col("class_id"))
-    other = saved(classes.groupBy(node).agg(stands.alias("n")).filter("n <> 1"), "other")
-    once = marked.join(other, node, "left_anti")
-    more = other.filter("n > 1")
+    number, key = _free(docs, "number"), _free(docs, "key")
+    marked = docs.withColumn(number, probminhash.id_number(F.col("doc_id"), F.col("text"))).withColumn(key, probminhash.text_key(F.col("text")))
+    classes = probminhash.classified(docs).select(F.col("number").alias(number), F.col("key").alias(key), "stands")
+    # rows of an id that stand for their class: none is dropped; more, or unlike texts, are rows that repeat an id
+    unlike = F.min(key) < F.max(key)
+    other = saved(classes.groupBy(number).agg(F.count_if("stands").alias("n"), unlike.alias("unlike")).filter("n <> 1 OR unlike"), "other")
+    once = marked.join(other, number, "left_anti").select(*docs.columns)
+    more = other.filter("n > 0")
     if more.isEmpty():
-        return once.select(*docs.columns)
-    return once.union(marked.join(more, node, "left_semi").dropDuplicates([node])).select(*docs.columns)
+        return once
+    kept = classes.filter("stands").join(more, number, "left_semi").select(number, key)
+    return once.union(marked.join(kept, [number, key], "left_semi").dropDuplicates([number, key]).select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    row = _free(docs, "row")  # other texts under the id of a bad one stay
+    marked = docs.withColumn(row, F.struct("doc_id", probminhash.text_key(F.col("text")).alias("key")))
+    return decontaminate.decontaminated(marked, table(spark, sf_dir, "benchmark"), row).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,9 +17,11 @@ A pair whose registers agree far less than the threshold is dropped, the rest is
 by the exact similarity.
 
 Defined results: null text is the empty text. Texts without a word are alike only if equal;
-fewer than five words make one shingle; repeated rows and ids all get a row; a row without an
-id gets a class through its text; a class's id is its least document id; empty tables give
-no rows. Whole texts count. At similarity 0.8 the bands miss one pair in 20,000 and the register
+fewer than five words make one shingle; repeated rows and ids all get a row; texts, told apart by
+a 64-bit hash, are judged each on its own, also under one id; a row without an id gets a class
+through its text; a class's id is its least document id, and where that is the least of several
+classes, the one whose text has the least hash takes it and the others' ids are numbers over all
+usual ids; empty tables give no rows. Whole texts count. At similarity 0.8 the bands miss one pair in 20,000 and the register
 test one in 200,000.
 """
 
@@ -102,18 +104,28 @@ def _key(text: str | None) -> bytes:
     return xxhash.xxh3_128_digest((text or "").encode("utf-8", "surrogatepass"))
 
 
-def node_number(row_id: Column, text: Column) -> Column:
-    """The id; without one, a number over all usual ids from the text's hash."""
-    return F.coalesce(row_id.cast("long"), F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 2) + F.lit(1 << 62))
+def text_key(text: Column) -> Column:
+    """The key of a text, the same for equal texts."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def number_over_ids(key: Column) -> Column:
+    """A number over all usual ids, from a text's key."""
+    return F.shiftrightunsigned(key, 2) + F.lit(1 << 62)
+
+
+def id_number(row_id: Column, text: Column) -> Column:
+    """The id; without one, a number over all usual ids."""
+    return F.coalesce(row_id.cast("long"), number_over_ids(text_key(text)))
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     own, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(own.alias("id"), node_number(own, text).alias("node"), text.alias("text"))
+    return docs.select(own.alias("id"), id_number(own, text).alias("number"), text_key(text).alias("key"), text.alias("text"))
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, node, key, bands, sig): content key, one hash for each band, low bits of the registers.
+    """(id, number, key, bands, sig): number of the id, key of the text, one hash for each band, low bits of the registers.
 
     The hashing of a text is repeated for equal texts of other batches only.
     """
@@ -122,7 +134,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for b in batches:
             for i in range(0, b.num_rows, 500):
                 part = b.slice(i, 500)
-                texts = part.column(2).to_pylist()
+                texts = part.column(3).to_pylist()
                 keys = [_key(t) for t in texts]
                 own = {k: n for n, k in enumerate(dict.fromkeys(keys))}
                 text_of = dict(zip(keys, texts, strict=True))
@@ -136,13 +148,13 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 bands = [band[n].tolist() if len(sets[n][0]) else [] for n in range(len(own))]
                 at = [own[k] for k in keys]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(keys, pa.binary()),
+                    [part.column(0), part.column(1), part.column(2),
                      pa.array([bands[n] for n in at], pa.list_(pa.int64())), pa.array([low[n].tobytes() for n in at], pa.binary())],
-                    ("id", "node", "key", "bands", "sig"),
+                    ("id", "number", "key", "bands", "sig"),
                 )
 
     return numbered(docs, id_col, text_col).mapInArrow(
-        sign, "id long, node long, key binary, bands array<long>, sig binary"
+        sign, "id long, number long, key long, bands array<long>, sig binary"
     )
 
 
@@ -156,14 +168,17 @@ def _agreement(a: Column, b: Column) -> Column:
 
 
 def shingle_table(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, h, c, weight): distinct shingles, their counts and their whole weight, of these nodes' texts."""
+    """(node, h, c, weight): distinct shingles, their counts and their whole weight, of these nodes' texts.
+
+    ``nodes`` (node, number, key) name one id of each text, so of many copies one is shingled.
+    """
 
     @F.pandas_udf("h array<long>, c array<int>, weight double")
     def shingled(t: pd.Series) -> pd.DataFrame:
         sets = [weighted_shingles(x) for x in each_text(t)]
         return pd.DataFrame({"h": [h.view(np.int64) for h, _ in sets], "c": [c.astype(np.int32) for _, c in sets], "weight": [float(weights(c).sum()) for _, c in sets]})
 
-    own = texts.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    own = texts.join(nodes, ["number", "key"]).dropDuplicates(["number", "key"])
     return own.select("node", shingled.asNondeterministic()("text").alias("s")).select("node", "s.*")
 
 
@@ -250,33 +265,64 @@ def links_between(placed: DataFrame, tested: DataFrame, reps: DataFrame, sets: D
     return verified(pairs.join(tested, ["a", "b"], "left_anti"), reps, sets, threshold)
 
 
+def claims(rows: DataFrame) -> DataFrame:
+    """(number, taker): numbers that several rows (number, key) claim, with the least key, which takes it."""
+    several = rows.groupBy("number").agg(F.min("key").alias("taker"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return saved(several.select("number", "taker"), "claims")
+
+
+def settled(rows: DataFrame, claimed: DataFrame, name: str) -> DataFrame:
+    """Rows (number, key) with a number of their own: theirs, if no other has taken it."""
+    own = F.when(F.col("taker") != F.col("key"), number_over_ids(F.col("key"))).otherwise(F.col("number"))
+    return rows.join(claimed, "number", "left").withColumn(name, own).drop("taker")
+
+
+def named(members: DataFrame) -> DataFrame:
+    """(class, class_id, stand): each class's id and the least (number, key) in it, from (class, number, key) of its texts."""
+    stand = F.min(F.struct("number", "key")).alias("stand")
+    classes = saved(members.groupBy("class").agg(stand).select("class", "stand", "stand.number", "stand.key"), "classes")
+    return settled(classes, claims(classes), "class_id").select("class", "class_id", "stand")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
-    """(id, class_id): every row of ``docs`` with the least id of its class of near copies."""
+    """(id, class_id): every row of ``docs`` with the id of its class of near copies."""
+    return classified(docs, id_col, text_col, threshold).select(F.col("id").alias(id_col), "class_id")
+
+
+def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
+    """(id, number, key, class_id, stands): every row with its number, its class, and whether its id and text are the class's first."""
     with arrow_rows(docs.sparkSession, TEXT_ROWS):
         signed = saved(signatures(docs, id_col, text_col), "signed")
-    # exact copies are one node: the least of those with equal content
+    # exact copies are one node: the least of their ids, if no unlike text has taken it
     reps = saved(
-        signed.groupBy("key").agg(F.min("node").alias("node"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n")), "reps"
+        signed.groupBy("key").agg(F.min("number").alias("number"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n")), "reps"
     )
+    claimed = claims(reps)
+    unlike = not claimed.isEmpty()
+    reps = settled(reps, claimed, "node") if unlike else reps.withColumn("node", F.col("number"))
     rows = reps.select("node", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = saved(rows.join(shared.drop("n"), "bucket"), "members")
     with arrow_rows(docs.sparkSession, TEXT_ROWS):
-        sets = saved(shingle_table(numbered(docs, id_col, text_col).select("node", "text"), members.select("node").distinct()), "shingles")
+        asked = reps.select("node", "number", "key").join(members.select("node").distinct(), "node", "left_semi")
+        sets = saved(shingle_table(numbered(docs, id_col, text_col).select("number", "key", "text"), asked), "shingles")
 
     tested = members.filter("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     comps = saved(components(verified(tested, reps, sets, threshold)), "comps")
     placed = members.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
     more = links_between(placed, tested, reps, sets, threshold)
     # the new links join whole components
-    named = comps.withColumnRenamed("comp", "c")
-    ends = more.join(named.withColumnRenamed("node", "a").withColumnRenamed("c", "ca"), "a", "left").join(named.withColumnRenamed("node", "b").withColumnRenamed("c", "cb"), "b", "left")
+    ends = more.join(comps.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left").join(comps.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
     merged = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
 
-    copies = reps.filter("n > 1").select("key", F.col("node").alias("rep"))
-    found = (
-        signed.select("id", "node", "key").join(copies, "key", "left").withColumn("rep", F.coalesce("rep", "node"))
-        .join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-        .join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("whole")), "comp", "left")
-    )
-    return found.select(F.col("id").alias(id_col), F.coalesce("whole", "comp").alias("class_id"))
+    def classed(rows: DataFrame) -> DataFrame:
+        joined = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        joined = joined.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("whole")), "comp", "left")
+        return joined.select(*rows.columns, F.coalesce("whole", "comp").alias("class"))
+
+    copies = reps.filter((F.col("n") > 1) | (F.col("node") != F.col("number"))).select("key", "node")
+    found = classed(signed.select("id", "number", "key").join(copies, "key", "left").withColumn("node", F.coalesce("node", "number")))
+    if not unlike:  # then a class's least node is its least id
+        return found.select("id", "number", "key", F.col("class").alias("class_id"), (F.col("number") == F.col("class")).alias("stands"))
+    stands = (F.col("stand.number") == F.col("number")) & (F.col("stand.key") == F.col("key"))
+    return found.join(named(classed(reps.select("node", "number", "key"))), "class").select("id", "number", "key", "class_id", stands.alias("stands"))

@@ -257,6 +257,20 @@ def test_near_duplicates_against_brute_force(spark, odd_docs, odd_rows, no_docs)
     assert class_of[1] == class_of[2] == class_of[14] == {1} and class_of[3] == {3}
 
 
+def test_unlike_texts_under_one_id_are_classes_apart(spark):
+    a, b, c = (prose(x, 90) for x in "abc")
+    data = [(1, a), (1, b), (1, b), (1, c), (2, f"{a} more"), (3, f"{b} more"), (4, b), (5, prose("d", 90)), (None, a)]
+    got = defaultdict(Counter)
+    for i, k in rows(probminhash.near_duplicates(spark.createDataFrame(data, "doc_id long, text string").repartition(3))):
+        got[i][k] += 1
+    (of_a,), (of_b,) = got[2], got[3]
+    assert of_a != of_b and got[None] == {of_a: 1} and got[4] == {of_b: 1} and got[5] == {5: 1}
+    assert len(got[1]) == 3 and got[1][of_a] == 1 and got[1][of_b] == 2 and 1 in got[1]
+    # two texts under one id that are alike are one class
+    got = rows(probminhash.near_duplicates(spark.createDataFrame([(1, a), (1, f"{a} more"), (2, c)], "doc_id long, text string")))
+    assert sorted(got) == [(1, 1), (1, 1), (2, 2)]
+
+
 def test_groups_of_near_copies(spark):
     """Chains of edits: many texts in shared buckets, not all alike to the bucket's least one."""
     import random

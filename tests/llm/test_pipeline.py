@@ -79,5 +79,17 @@ def test_repeated_rows_leave_one(spark, odd_docs, tmp_path):
     assert P.near_duplicates(spark, copies.union(copies).union(copies), str(tmp_path)).count() == 1
 
 
+def test_unlike_texts_under_one_id_stay_apart(spark, odd_rows, tmp_path):
+    text = {r[0]: r[1] for r in odd_rows}
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").orderBy("item_id").first().text
+    spark.read.parquet(f"{SMALL}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    data = [(1, text[7]), (1, text[105]), (1, text[105]), (2, text[9]), (3, f"{text[110]} {item}"), (3, text[111]), (None, f"{text[110]} {item}"), (None, text[109])]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    once = Counter(tuple(r) for r in P.near_duplicates(spark, docs, str(tmp_path)).collect())
+    assert once == Counter({data[0]: 1, data[1]: 1, data[4]: 1, data[5]: 1, data[7]: 1})
+    clean = Counter(tuple(r) for r in P.decontamination(spark, docs, str(tmp_path)).collect())
+    assert clean == Counter(r for r in data if item not in r[1])
+
+
 def test_files_exist():
     assert all(open(public_tokenizers.path(f"byte_bpe_50k.{k}")).readable() for k in ("json", "tiktoken"))
