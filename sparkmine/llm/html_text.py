@@ -10,8 +10,9 @@ indent, preformatted text as it stands, and table cells in aligned columns.
 
 Defined results: null gives null, an empty page the empty text; text outside any tag, unclosed
 and stray tags are taken as browsers do; a broken tag at the end is dropped. Cells longer
-than ``WIDEST`` are not padded to; containers nested deeper than ``DEEPEST`` are plain blocks;
-neither loses text. Repeated rows give equal texts.
+than ``WIDEST`` are not padded to; a cell that spans rows keeps its columns taken to the end of
+its row group at most, up to column ``MOST_COLUMNS``; containers nested deeper than ``DEEPEST`` are
+plain blocks; none of these loses text. Repeated rows give equal texts.
 """
 
 from __future__ import annotations
@@ -24,11 +25,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WIDEST, DEEPEST = 60, 40
+MOST_COLUMNS = 10_000
 
+# a quote opens a quoted run directly after = only, elsewhere it is part of a name or value
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+)*+)(?:>|\Z)"
+    r"|<[!?/][^>]*+(?:>|\Z)", re.S
 )
-ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+ATTR = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 BLANK = re.compile(r"[ \t\n\r\f]+")
 HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 
@@ -135,14 +139,16 @@ class Flow:
 
 
 class Element:
-    __slots__ = ("flow", "hidden", "mark", "number", "rows", "tag")
+    __slots__ = ("down", "flow", "groups", "hidden", "mark", "number", "rows", "tag")
 
     def __init__(self, tag: str, hidden: bool):
         self.tag, self.hidden = tag, hidden
         self.flow: Flow | None = None  # set where the element collects lines of its own
         self.mark = ""
-        self.number: int | None = None  # of an ordered list's next item
-        self.rows: list[list[tuple[list[str], int]]] | None = None  # of a table
+        self.number: int | None = None  # of an ordered list's next item; columns of a cell
+        self.down = 1  # rows of a cell, 0 for all that follow
+        self.rows: list[list[tuple[list[str], int, int]]] | None = None  # of a table
+        self.groups: set[int] = set()  # the table's rows that begin a row group
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -157,6 +163,27 @@ def _whole(value: str | None, default: int, most: int = 10_000) -> int:
     return min(int(m[1]), most) if m else default
 
 
+def placed(rows: list[list[tuple[list[str], int, int]]], groups: set[int]) -> list[list[tuple[list[str], int]]]:
+    """Rows of cells (lines, columns), with an empty cell for each column that a cell above takes."""
+    out = []
+    taken: dict[int, int] = {}  # column: the last row that it is taken in
+    for r, row in enumerate(rows):
+        if r in groups:
+            taken = {}
+        own, at = [], 0
+        for lines, span, down in row:
+            while taken.get(at, -1) >= r:
+                own.append(([], 1))
+                at += 1
+            own.append((lines, span))
+            if down != 1:
+                for c in range(at, min(at + span, MOST_COLUMNS)):
+                    taken[c] = max(taken.get(c, -1), r + down - 1 if down else len(rows))
+            at += span
+        out.append(own)
+    return out
+
+
 def aligned(rows: list[list[tuple[list[str], int]]]) -> list[str]:
     """Lines of a table: each column is as wide as its widest cell that takes one column, up to ``WIDEST``."""
     width: dict[int, int] = {}
@@ -206,6 +233,8 @@ class Page:
             self.pre += 1
         if self.hidden:
             return
+        if tag in SECTIONS:
+            self._group()
         flow = self.flows[-1]
         nested = sum(self.count.get(t, 0) for t in LISTS) > 1
         if tag in LISTS:
@@ -231,10 +260,18 @@ class Page:
             e.rows, e.flow = [], Flow()  # the flow takes text that stands between cells
         elif tag in CELLS:
             e.flow = Flow()
-            e.number = max(1, _whole(attributes(attrs).get("colspan"), 1, 1000)) if attrs else 1
+            a = attributes(attrs) if attrs else {}
+            e.number, e.down = max(1, _whole(a.get("colspan"), 1, 1000)), _whole(a.get("rowspan"), 1, 65534)
+            e.down = e.down if e.down >= 0 else 1
         if e.flow is not None:
             self.flows.append(e.flow)
 
+    def _group(self) -> None:
+        """The table's next row begins a row group."""
+        table = next((x for x in reversed(self.open) if x.rows is not None), None)
+        if table is not None:
+            table.groups.add(len(table.rows))
+
     def _pop(self) -> None:
         e = self.open.pop()
         self.count[e.tag] -= 1
@@ -244,6 +281,8 @@ class Page:
         self.hidden -= e.hidden
         if not shown:
             return
+        if e.tag in SECTIONS:
+            self._group()
         if e.flow is not None:
             lines = self.flows.pop().done()
             out = self.flows[-1]
@@ -254,9 +293,9 @@ class Page:
                 else:
                     if not table.rows:
                         table.rows.append([])
-                    table.rows[-1].append((lines, e.number or 1))
+                    table.rows[-1].append((lines, e.number or 1, e.down))
             elif e.rows is not None:
-                body = aligned(e.rows)
+                body = aligned(placed(e.rows, e.groups))
                 out.put(lines + ([""] if lines and body else []) + body, 2)
             elif lines:
                 pad = " " * len(e.mark)

@@ -199,6 +199,20 @@ def test_rendering(page, text):
     assert rendered(page) == text
 
 
+STRAY_AND_SPANNED = [
+    ("<p class=foo' >text it's here</p><p>b</p>", "text it's here\n\nb"), ("<p title=it's>a 'b' > c</p>", "a 'b' > c"), ("<p \"x>a</p><b y=\"2\">b</b>", "a\n\nb"),
+    ("<a href = 'x>y' b=\"p>q\"c=/d/>t</a>", "t"), ("<p x\"hidden>a</p>", "a"), ("<p x=y'z hidden>a</p>b", "b"), ("<a b=>t</a>", "t"),
+    ("<table><tr><td rowspan=2>aa<td>b<tr><td>c</table>", "aa  b\n    c"), ("<table><tr><td rowspan=0>aa<td>b<tr><td>c<tr><td>d</table>", "aa  b\n    c\n    d"),
+    ("<table><tbody><tr><td rowspan=9>aa<td>b<tbody><tr><td>c<td>d</table>", "aa  b\nc   d"),
+    ("<table><tr><td>a<td rowspan=2 colspan=2>bb<td>c<tr><td>d<td>e<tr><td>f<td>g<td>h<td>i</table>", "a  bb    c\nd        e\nf  g  h  i"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), STRAY_AND_SPANNED)
+def test_rendering_of_stray_quotes_and_row_spans(page, text):
+    assert rendered(page) == text
+
+
 def test_rendering_loses_no_visible_word():
     rnd = random.Random(6)
     tags = "p div ul ol li table tr td th b span blockquote pre dl dt dd section h2 br".split()
