@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmine.llm import bin_slack, decontaminate, fingerprint, html_text, kd_shards, langid, probminhash, quality_fm, toxicity, url_rules
+from sparkmine.llm import bin_slack, decontaminate, fingerprint, html_text, kd_shards, langid, pieces, probminhash, quality_fm, runs, toxicity, url_rules, variants
 from sparkmine.llm.common import fold
 from sparkmine.sources.tables import table
 
@@ -115,5 +115,63 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", html_text.visible_text(F.col("html")).alias("text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_fingerprint, op3_html_text, op4_toxicity, op5_kd_shards, op6_decontamination, op7_quality, op8_near_duplicates, op9_packing, op10_url_filter)}
-ORACLES: dict[str, str] = {"op10_url_filter": OP10_SQL}
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every text, some of them planted, and the text without their repeats."""
+    return runs.run_digests(runs.periodic_runs(table(spark, sf_dir, "documents"), edited=runs.planted))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as pieces with their byte spans, and decoded again."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.digests(pieces.encoded(table(spark, sf_dir, "documents"), model), model)
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words and its more frequent form."""
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+# The hash's table is made by its rule; near words come from equal words with one sign left out.
+OP13_SQL = r"""
+WITH RECURSIVE
+bits(i, k, v) AS (
+  SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (
+  SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS r FROM documents) GROUP BY ALL),
+bytes AS (
+  SELECT w, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [CAST(192 + (unicode(c) >> 6) AS BIGINT), CAST(128 + (unicode(c) & 63) AS BIGINT)] END)) AS b
+  FROM runs WHERE length(w) >= 6),
+hashed AS (
+  SELECT w, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[CAST((xor(c, x) & 255) + 1 AS INTEGER)])), 4294967295) AS h FROM bytes, crc),
+edited AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(w, CAST(h % length(w) AS INTEGER)) || substr(w, CAST(h % length(w) AS INTEGER) + 2) ELSE w END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM edited GROUP BY word HAVING length(word) >= 6 AND sum(n) >= 5),
+less AS (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS d FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS near FROM less a JOIN less b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION SELECT l.word, w.word FROM less l JOIN words w ON l.d = w.word
+  UNION SELECT w.word, l.word FROM less l JOIN words w ON l.d = w.word),
+ranked AS (
+  SELECT e.word, e.near, w.n AS near_n, count(*) OVER (PARTITION BY e.word) AS n_near,
+         row_number() OVER (PARTITION BY e.word ORDER BY w.n DESC, encode(e.near)) AS r
+  FROM near e JOIN words w ON w.word = e.near),
+told AS (
+  SELECT w.word, CASE WHEN r.near_n >= 5 * w.n THEN r.near END AS form, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.near_n >= 5 * w.n THEN r.near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.r = 1),
+chain(word, tip) AS (SELECT word, word FROM told UNION ALL SELECT c.word, t.form FROM chain c JOIN told t ON t.word = c.tip WHERE t.form IS NOT NULL)
+SELECT t.word, t.form, c.tip AS root, t.n, t.n_near, t.form_n
+FROM told t JOIN chain c ON c.word = t.word JOIN told l ON l.word = c.tip AND l.form IS NULL
+"""
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language, op2_fingerprint, op3_html_text, op4_toxicity, op5_kd_shards, op6_decontamination, op7_quality, op8_near_duplicates, op9_packing,
+        op10_url_filter, op11_runs, op12_pieces, op13_variants,
+    )
+}
+ORACLES: dict[str, str] = {"op10_url_filter": OP10_SQL, "op13_variants": OP13_SQL}
