@@ -4,7 +4,8 @@ The words are laid out as a trie of edges (node, label, child), a table of its o
 without a branch are one edge, a node is the hash of its prefix. A word's states (word,
 position, node, edits) start on its own path and meet the edges of their node, level by level:
 an edge that the word goes on with keeps the number of edits, and from a state without an edit
-an edge with another first sign replaces the word's next sign or is inserted before it. A state
+an edge with another first sign replaces the word's next sign or is inserted before it. An edge tells
+which signs follow its child, so states that could not go on are not made. A state
 that ends with its word, on a node where a word ends, after one edit, is a near word.
 
 Of two near words one half agrees exactly. So each word walks two tries, that of the words and
@@ -127,14 +128,16 @@ def as_read(words: DataFrame) -> DataFrame:
 
 
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """-> edges (node, label, child), starts (side, s, node, depth), ends (side, t, node), busy nodes (tiles for ``salted_join``).
+    """-> edges (node, first sign, rest and size of the label, child, what follows there), starts (side, s, node, depth), ends (side, t, node), busy nodes (tiles for ``salted_join``).
 
     Nodes are prefixes where words branch or end. A start is the first node of a word's path from its middle on,
     an end its last.
     """
     paths = saved(prefixes(words), "prefixes")
-    nodes = paths.groupBy("node").agg(F.min("next").alias("least"), F.max("next").alias("most"), F.count(F.lit(1)).alias("n"))
-    nodes = saved(nodes.filter((F.col("least") == "") | (F.col("least") < F.col("most"))).select("node", "n"), "nodes")
+    signs = F.bit_or(F.when(F.col("next") != "", follows(F.col("next"))).otherwise(F.lit(0)))
+    nodes = paths.groupBy("node").agg(F.min("next").alias("least"), F.max("next").alias("most"), F.count(F.lit(1)).alias("n"), signs.alias("signs"))
+    nodes = nodes.filter((F.col("least") == "") | (F.col("least") < F.col("most")))
+    nodes = saved(nodes.select("node", "n", F.col("signs").alias("next"), (F.col("least") == "").alias("ends")), "nodes")
     busy = nodes.filter(F.col("n") > STATES_PER_TILE).select("node", F.ceil(F.col("n") / STATES_PER_TILE).cast("int").alias("n_left"), F.lit(1).alias("n_right"))
     on_path = salted_join(paths.select("side", "k", "node", "depth"), nodes.select("node"), ["node"], busy)
     along = Window.partitionBy("side", "k").orderBy("depth")
@@ -142,36 +145,65 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     steps = saved(steps.join(as_read(words), ["side", "k"]).drop("k"), "steps")
     label = F.substring(F.col("s"), F.col("depth") + 1, F.col("to") - F.col("depth"))
     edges = steps.filter("child IS NOT NULL").select("node", label.alias("label"), "child").distinct()
+    edges = edges.join(nodes.select(F.col("node").alias("child"), "next", "ends"), "child").select(
+        "node", F.substring("label", 1, 1).alias("first"), F.substring(F.col("label"), F.lit(2), F.length("label")).alias("rest"), F.length("label").alias("size"),
+        "child", "next", "ends",
+    )
     starts = steps.filter(F.col("depth") >= middle(F.length("s"))).groupBy("side", "s").agg(F.min_by(F.struct("node", "depth"), "depth").alias("at"))
     ends = steps.filter("child IS NULL").select("side", F.col("s").alias("t"), "node")
     return saved(edges, "trie"), starts.select("side", "s", "at.node", "at.depth"), ends, busy
 
 
+def follows(sign: Column) -> Column:
+    """The bit of a sign in a node's set of following signs (signs that share a bit are told apart by the joins)."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(sign).bitwiseAND(F.lit(63)))
+
+
+def goes_on(pos: Column) -> Column:
+    """Whether the edge's child has an end, or an edge, for the rest of a word from ``pos`` on."""
+    left = F.length("s") - pos
+    sign = F.substring(F.col("s"), pos + 1, F.lit(1))
+    return F.when(left > 0, F.col("next").bitwiseAND(follows(sign)) != 0).otherwise((left == 0) & F.col("ends"))
+
+
 def advanced(states: DataFrame, edges: DataFrame, busy: DataFrame) -> DataFrame:
-    """The next level of states (side, s, pos, node, edits)."""
-    met = salted_join(states, edges, ["node"], busy)
-    size, left = F.length("label"), F.length("s") - F.col("pos")
-    ahead = lambda skip, n: F.substring(F.col("s"), F.col("pos") + 1 + skip, n)
-    rest = F.substring(F.col("label"), F.lit(2), size)
-    same = (size <= left) & (ahead(0, size) == F.col("label"))
-    other = (F.col("edits") == 0) & (ahead(0, 1) != F.substring("label", 1, 1))
-    replaced = other & (size <= left) & (ahead(1, size - 1) == rest)
-    inserted = other & (size - 1 <= left) & (ahead(0, size - 1) == rest)
-    move = lambda step, edits: F.struct((F.col("pos") + step).alias("pos"), edits.alias("edits"))
-    moves = F.array_compact(F.array(
-        F.when(same, move(size, F.col("edits"))), F.when(replaced, move(size, F.lit(1))), F.when(inserted, move(size - 1, F.lit(1)))
-    ))
-    return met.select("side", "s", F.col("child").alias("node"), F.explode(moves).alias("m")).select("side", "s", "m.pos", "node", "m.edits")
+    """The next level of states (side, s, pos, sign, node, edits); ``sign`` is the next one of the word."""
+    # an edge whose first sign differs: the word's sign is replaced, or the edge's inserted before it
+    met = salted_join(states.filter("edits = 0").drop("edits"), edges, ["node"], busy)
+    at = F.col("pos")
+    same = F.when((F.col("sign") == F.col("first")) & (F.substring(F.col("s"), at + 2, F.col("size") - 1) == F.col("rest")), at + F.col("size"))
+    other = F.col("sign") != F.col("first")
+    replaced = other & (F.col("sign") != "") & goes_on(at + F.col("size"))
+    replaced &= (F.col("size") == 1) | (F.substring(F.col("s"), at + 2, F.col("size") - 1) == F.col("rest"))
+    inserted = other & goes_on(at + F.col("size") - 1)
+    inserted &= (F.col("size") == 1) | (F.substring(F.col("s"), at + 1, F.col("size") - 1) == F.col("rest"))
+    moves = F.array(
+        F.struct(same.alias("pos"), F.lit(0).alias("edits")),
+        F.struct(F.when(replaced, at + F.col("size")).alias("pos"), F.lit(1).alias("edits")),
+        F.struct(F.when(inserted, at + F.col("size") - 1).alias("pos"), F.lit(1).alias("edits")),
+    )
+    met = met.filter((F.col("sign") == F.col("first")) | replaced | inserted)
+    first = met.select("side", "s", "child", F.explode(moves).alias("m")).filter("m.pos IS NOT NULL").select("side", "s", "m.pos", F.col("child").alias("node"), "m.edits")
+    # after the edit only the edge that the word goes on with
+    exact = states.filter("edits = 1").select("side", "s", "pos", "node", F.col("sign").alias("first")).join(edges, ["node", "first"])
+    exact = exact.filter(((F.col("size") == 1) | (F.substring(F.col("s"), at + 2, F.col("size") - 1) == F.col("rest"))) & goes_on(at + F.col("size")))
+    then = exact.select("side", "s", (at + F.col("size")).alias("pos"), F.col("child").alias("node"), F.lit(1).alias("edits"))
+    return with_sign(first.union(then))
+
+
+def with_sign(states: DataFrame) -> DataFrame:
+    return states.withColumn("sign", F.substring(F.col("s"), F.col("pos") + 1, F.lit(1)))
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """(word, near): all ordered pairs of ``words`` that differ by exactly one inserted, deleted or replaced sign."""
     edges, starts, ends, busy = trie(words)
-    states = saved(starts.select("side", "s", F.col("depth").alias("pos"), "node", F.lit(0).alias("edits")), "states")
+    states = saved(with_sign(starts.select("side", "s", F.col("depth").alias("pos"), "node", F.lit(0).alias("edits"))), "states")
     ended = []
     while not states.isEmpty():
-        ended.append(states.filter((F.col("edits") == 1) & (F.col("pos") == F.length("s"))).select("side", "s", "node"))
-        states = saved(advanced(states, edges, busy), "states")
+        done = (F.col("edits") == 1) & (F.col("sign") == "")
+        ended.append(states.filter(done).select("side", "s", "node"))
+        states = saved(advanced(states.filter(~done), edges, busy), "states")
     if not ended:
         return words.select("word", F.col("word").alias("near")).limit(0)
     found = ended[0]
