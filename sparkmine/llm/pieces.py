@@ -18,6 +18,7 @@ than BPE with byte fallback, or with pieces defined by a user, are refused.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import heapq
 import re
@@ -25,19 +26,21 @@ import struct
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
 REMEMBERED = 100_000  # parts that a task keeps
-SHORT = 64  # signs of a part up to which all its pairs are looked through for each join
-TEXT_ROWS = 64  # texts of an Arrow batch whose results are put together at a time
+SHORT = 32  # signs of a part up to which it is merged together with others
+ROWS = 2_000  # parts that are merged together
+SIGNS_AT_ONCE = 500_000  # signs of the texts that are encoded together (one text more may follow)
 
 # Fixed values of the model format: kinds of pieces and the numbers of the fields that are read.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
-NONE = float("-inf")
 
 
 def fields(data: bytes):
@@ -217,7 +220,11 @@ def original_places(model: Model, text: str, of: Normalised) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts with one model; ``parts`` remembers the pieces of the last parts."""
+    """Encodes texts with one model; ``parts`` and ``spans`` remember the pieces of the last parts.
+
+    Parts of up to ``SHORT`` signs that are not remembered are merged together: a matrix has the signs of a part in a
+    row, and each round joins the best pair of every row. A sign that is no piece is the number of pieces plus its code point.
+    """
 
     def __init__(self, model: Model):
         self.model = model
@@ -225,32 +232,32 @@ class Encoder:
         self.ids = usable
         self.scores = {n: model.scores[i] for n, i in usable.items()}
         self.bytes = {int(n[3:5], 16): i for i, (n, k) in enumerate(zip(model.names, model.kinds, strict=True)) if k == BYTE}
+        self.sizes = [len(n.encode()) for n in model.names]
         across = any(BLANK in n.lstrip(BLANK) for n in usable)
         # a part: blanks and what follows them up to the next blank; all at once if a piece reaches across
         self.part = re.compile("(?s).+" if across or not model.escape else f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+").findall
-        self.parts: dict[str, tuple[list[int], list[int]]] = {}
+        self.parts: dict[str, bytes] = {}  # 32-bit ids; bytes, as lists by the hundred thousand would slow the garbage collector
+        self.spans: dict[str, bytes] = {}
+        self.size = np.array(self.sizes, np.int32)
+        self.sign = np.arange(0x110000, dtype=np.int64) + len(model.names)
+        for n, i in usable.items():
+            if len(n) == 1:
+                self.sign[ord(n)] = i
+        pairs = {}
+        for n, i in usable.items():
+            for cut in range(1, len(n)):
+                a, b = self._number(n[:cut]), self._number(n[cut:])
+                if a is not None and b is not None:
+                    pairs[a << 21 | b] = i
+        self.pairs = pd.Index(np.fromiter(pairs, np.int64, len(pairs)))
+        self.joined = np.append(np.fromiter(pairs.values(), np.int64, len(pairs)), -1)
+        self.pair_scores = np.append(np.array(model.scores)[self.joined[:-1]], -np.inf)  # the last is for pairs that are no piece
+
+    def _number(self, signs: str) -> int | None:
+        return self.ids.get(signs) if len(signs) > 1 else int(self.sign[ord(signs)])
 
     def merged(self, part: str) -> list[str]:
         """Pieces of a part: neighbours are joined, the best score first, of equals the leftmost."""
-        if len(part) > SHORT:
-            return self._merged_long(part)
-        signs, score = list(part), self.scores.get
-        pairs = [score(a + b, NONE) for a, b in zip(signs, signs[1:], strict=False)]
-        while pairs:
-            best = max(pairs)
-            if best == NONE:
-                break
-            i = pairs.index(best)
-            signs[i : i + 2] = [signs[i] + signs[i + 1]]
-            del pairs[i]
-            if i:
-                pairs[i - 1] = score(signs[i - 1] + signs[i], NONE)
-            if i < len(pairs):
-                pairs[i] = score(signs[i] + signs[i + 1], NONE)
-        return signs
-
-    def _merged_long(self, part: str) -> list[str]:
-        """The same by a queue of pairs, for parts of any length."""
         signs = list(part)
         scores, n = self.scores, len(signs)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -277,35 +284,101 @@ class Encoder:
             offer(i, after[i])
         return [s for s in signs if s]
 
-    def of_part(self, part: str) -> tuple[list[int], list[int]]:
-        """Ids of a part's pieces and how many bytes each spans (all but a sign's last byte piece: none)."""
-        known = self.parts.get(part)
-        if known is None:
-            ids, spans = [], []
-            for piece in self.merged(part):
-                i, data = self.ids.get(piece), piece.encode()
-                if i is None:
-                    ids.extend(self.bytes[b] for b in data)
-                    spans.extend([0] * (len(data) - 1))
-                else:
-                    ids.append(i)
-                spans.append(len(data))
-            if len(self.parts) >= REMEMBERED:
-                self.parts.clear()
-            known = self.parts[part] = ids, spans
-        return known
+    def _looked_up(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Where each pair stands among the pairs that are pieces; -1 for others, and beside an empty place (-1)."""
+        key = np.where((a < 0) | (b < 0), -1, a << 21 | b)
+        return self.pairs.get_indexer(key.ravel()).reshape(key.shape)
+
+    def merged_rows(self, signs: np.ndarray) -> np.ndarray:
+        """The pieces of each row of a matrix of signs; rows are filled up with -1."""
+        out, rows = signs.copy(), np.arange(len(signs))
+        place = np.arange(signs.shape[1])
+        pair = self._looked_up(signs[:, :-1], signs[:, 1:])
+        while len(rows) and signs.shape[1] > 1:
+            score = self.pair_scores[pair]
+            best = score.argmax(axis=1)  # the leftmost of the best
+            own = np.arange(len(rows))
+            done = np.isneginf(score[own, best])
+            if done.any():
+                out[rows[done]] = signs[done]
+                rows, signs, pair, best = rows[~done], signs[~done], pair[~done], best[~done]
+                own = np.arange(len(rows))
+                if not len(rows):
+                    break
+            piece = self.joined[pair[own, best]]
+            behind = place[None, :] > best[:, None]
+            moved = np.concatenate([signs[:, 1:], np.full((len(rows), 1), -1)], axis=1)
+            signs = np.where(behind, moved, signs)
+            signs[own, best] = piece
+            moved = np.concatenate([pair[:, 1:], np.full((len(rows), 1), -1)], axis=1)
+            pair = np.where(behind[:, :-1], moved, pair)
+            left = np.maximum(best - 1, 0)
+            pair[own, left] = np.where(best > 0, self._looked_up(signs[own, left], piece), pair[own, left])
+            right = np.minimum(best + 1, signs.shape[1] - 1)
+            at = np.minimum(best, pair.shape[1] - 1)
+            last = best == pair.shape[1]
+            pair[own, at] = np.where(last, pair[own, at], self._looked_up(piece, np.where(best + 1 > right, -1, signs[own, right])))
+        else:
+            out[rows] = signs
+        return out
+
+    def _told(self, numbers: list[int]) -> tuple[bytes, bytes]:
+        """Ids of the pieces and how many bytes each spans (all but a sign's last byte piece: none), as 32-bit numbers."""
+        ids, spans, n = [], [], len(self.sizes)
+        for i in numbers:
+            if i < n:
+                ids.append(i)
+                spans.append(self.sizes[i])
+            else:
+                data = chr(i - n).encode()
+                ids.extend(self.bytes[b] for b in data)
+                spans.extend([*[0] * (len(data) - 1), len(data)])
+        return np.array(ids, np.int32).tobytes(), np.array(spans, np.int32).tobytes()
+
+    def remember(self, parts: set[str]) -> None:
+        """Put the pieces of all these parts into ``parts`` and ``spans``."""
+        if len(self.parts) + len(parts) > REMEMBERED:
+            self.parts.clear()
+            self.spans.clear()
+        new = sorted(parts.difference(self.parts), key=len)
+        short = bisect.bisect_right(new, SHORT, key=len)
+        for at in range(0, short, ROWS):  # of nearly equal lengths
+            rows = new[at : min(at + ROWS, short)]
+            sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+            numbers = self.sign[np.frombuffer("".join(rows).encode("utf-32-le", "surrogatepass"), np.uint32)]
+            signs = np.full((len(rows), int(sizes[-1])), -1, np.int64)
+            signs[np.arange(signs.shape[1])[None, :] < sizes[:, None]] = numbers
+            found = self.merged_rows(signs)
+            width = 4 * found.shape[1]
+            ids, spans = found.astype(np.int32).tobytes(), self.size[np.minimum(found, len(self.sizes) - 1)].tobytes()
+            starts = np.arange(0, width * len(rows), width)
+            cuts = zip(starts.tolist(), (starts + 4 * (found >= 0).sum(axis=1)).tolist(), strict=True)
+            for p, (x, y) in zip(rows, cuts, strict=True):
+                self.parts[p] = ids[x:y]
+                self.spans[p] = spans[x:y]
+            for r in np.flatnonzero(found.max(axis=1) >= len(self.sizes)).tolist():
+                self.parts[rows[r]], self.spans[rows[r]] = self._told([i for i in found[r].tolist() if i >= 0])
+        for p in new[short:]:
+            self.parts[p], self.spans[p] = self._told([i for x in self.merged(p) if (i := self._number(x)) is not None])
+
+    def encode_all(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+        """For each text the ids of its pieces and the original bytes at which each begins and ends."""
+        norms = [normalise(self.model, t) for t in texts]
+        parts = [self.part(n.text) for n in norms]
+        self.remember(set().union(*parts))
+        ids_of, spans_of, ids, starts, ends = self.parts.__getitem__, self.spans.__getitem__, [], [], []
+        for t, norm, own in zip(texts, norms, parts, strict=True):
+            ids.append(np.frombuffer(b"".join(map(ids_of, own)), np.int32))
+            size = np.frombuffer(b"".join(map(spans_of, own)), np.int32)
+            end = np.cumsum(size, dtype=np.int64)
+            places = original_places(self.model, t, norm)
+            starts.append(places[end - size])
+            ends.append(places[end])
+        return ids, starts, ends
 
     def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
-        """Ids of the pieces and the original bytes at which each begins and ends."""
-        norm = normalise(self.model, text)
-        ids, spans = [], []
-        for part in self.part(norm.text):
-            i, s = self.of_part(part)
-            ids += i
-            spans += s
-        places = original_places(self.model, text, norm)
-        ends = np.cumsum(np.array(spans, np.int64)) if spans else np.empty(0, np.int64)
-        return ids, places[ends - spans] if spans else ends, places[ends]
+        ids, starts, ends = self.encode_all([text])
+        return ids[0].tolist(), starts[0], ends[0]
 
 
 class Decoder:
@@ -363,6 +436,25 @@ def _texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def _lists(parts: list, kind=np.int32) -> pa.Array:
+    """An Arrow list for each of ``parts``."""
+    cuts = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate([np.asarray(p, kind) for p in parts]) if parts else np.empty(0, kind)))
+
+
+def _slices(b: pa.RecordBatch, column: int):
+    """The batch in parts of some ``SIGNS_AT_ONCE`` signs of a column of texts, or of numbers of a column of lists."""
+    sizes = pc.fill_null((pc.utf8_length if pa.types.is_string(b.schema.types[column]) else pc.list_value_length)(b.column(column)), 0).to_pylist()
+    at = held = 0
+    for i, n in enumerate(sizes):
+        held += n
+        if held >= SIGNS_AT_ONCE:
+            yield b.slice(at, i + 1 - at)
+            at, held = i + 1, 0
+    if at < b.num_rows:
+        yield b.slice(at)
+
+
 def encoded(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", begin: bool = False, end: bool = True) -> DataFrame:
     """(id, ids array<int>, starts array<int>, ends array<int>): pieces of every text with their spans in its UTF-8 bytes.
 
@@ -372,16 +464,19 @@ def encoded(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col:
     def pieces(batches):
         encoder = Encoder(_model(model_file))
         m = encoder.model
+        mark = lambda at: np.array([at], np.int32)
         for b in batches:
-            for at in range(0, b.num_rows, TEXT_ROWS):
-                part = b.slice(at, TEXT_ROWS)
-                found = []
-                for t in _texts(part.column(1)):
-                    ids, starts, ends = encoder.encode(t)
-                    size = len(t.encode())
-                    first, last = [m.begin] * begin, [m.end] * end
-                    found.append((first + ids + last, [0] * begin + starts.tolist() + [size] * end, [0] * begin + ends.tolist() + [size] * end))
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([f[i] for f in found], pa.list_(pa.int32())) for i in range(3))], ("id", "ids", "starts", "ends"))
+            for part in _slices(b, 1):
+                texts = _texts(part.column(1))
+                ids, starts, ends = encoder.encode_all(texts)
+                if begin:
+                    ids = [np.append(mark(m.begin), x) for x in ids]
+                    starts, ends = ([np.append(mark(0), x) for x in xs] for xs in (starts, ends))
+                if end:
+                    ids = [np.append(x, mark(m.end)) for x in ids]
+                    last = [len(t.encode()) for t in texts]
+                    starts, ends = ([np.append(x, n) for x, n in zip(xs, last, strict=True)] for xs in (starts, ends))
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids), _lists(starts), _lists(ends)], ("id", "ids", "starts", "ends"))
 
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = own.schema["id"].dataType.simpleString()
@@ -396,11 +491,11 @@ def digests(pieces: DataFrame, model_file: str, id_col: str = "doc_id") -> DataF
         decoder = Decoder(model)
         decimal = [str(i).encode() for i in range(len(model.names))]
         for b in batches:
-            for at in range(0, b.num_rows, TEXT_ROWS):
-                part = b.slice(at, TEXT_ROWS)
+            for part in _slices(b, 1):
                 starts, ends = part.column(2).flatten().to_numpy(), part.column(3).flatten().to_numpy()
-                ids = part.column(1).to_pylist()
-                cuts = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+                cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(part.column(1)).to_numpy())])
+                flat = part.column(1).flatten().to_numpy().tolist()
+                ids = [flat[a:z] for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
                 spanned = np.concatenate([[0], np.cumsum(ends.astype(np.int64) - starts)])[cuts]
                 yield pa.RecordBatch.from_arrays(
                     [
