@@ -78,8 +78,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def keep_until_release(path: str) -> None:
+    """Note a stored intermediate that ``release`` is to delete."""
+    _STORED.append(path)
+
+
 def release(spark: SparkSession) -> None:
-    """Delete the tables that ``materialize`` has written for this session.
+    """Delete the intermediate tables and files that this session's operators have written.
 
     To be called when the results that were built on them have been stored.
     """
@@ -102,5 +107,5 @@ def materialize(df, name: str):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/sparkmine/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    _STORED.append(path)
+    keep_until_release(path)
     return spark.read.parquet(path)
