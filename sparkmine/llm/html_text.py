@@ -2,8 +2,12 @@
 
 Tags open and close elements on a stack, with the end and start tags that HTML implies (a
 paragraph ends where a block begins, an item where the next one does, a cell belongs to
-a row). Elements that are not shown are left out with all they hold: head, scripts, styles,
-templates, embedded media, the hidden attribute, ``display:none`` and ``visibility:hidden``.
+a row). Elements that are not laid out are left out with all they hold: head, scripts, styles,
+templates, embedded media, a dialog that is not open, the hidden attribute (unless the style says another
+``display``) and ``display:none``. ``visibility`` is inherited: what is hidden or collapsed gives no
+text, but what is visible again inside it does. Style attributes are read declaration by declaration, names
+compared as a whole, the last one counts. No script is run, so noscript is shown; what a closed
+details element holds is shown too, as a reader can open it.
 All other text is emitted: blocks on lines of their own, paragraphs, headings, lists and
 tables with a blank line around them, list items with a bullet or number and their depth's
 indent, preformatted text as it stands, and table cells in aligned columns.
@@ -18,6 +22,7 @@ plain blocks; none of these loses text. Repeated rows give equal texts.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from html import unescape
 
 import pandas as pd
@@ -34,7 +39,7 @@ TOKEN = re.compile(
 )
 ATTR = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 BLANK = re.compile(r"[ \t\n\r\f]+")
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
@@ -51,6 +56,7 @@ HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 LISTS = frozenset(("ul", "ol", "menu", "dir"))
 CELLS, SECTIONS = frozenset(("td", "th")), frozenset(("thead", "tbody", "tfoot"))
 BARRIER = frozenset(("td", "th", "table", "caption", "html"))
+P_BARRIER = BARRIER | {"button"}
 # a start tag ends open elements of the second set, up to one of the third
 IMPLIED = {
     "li": (frozenset(("li",)), LISTS | BARRIER), "dt": (frozenset(("dt", "dd")), BARRIER | {"dl"}), "dd": (frozenset(("dt", "dd")), BARRIER | {"dl"}),
@@ -139,10 +145,10 @@ class Flow:
 
 
 class Element:
-    __slots__ = ("down", "flow", "groups", "hidden", "mark", "number", "rows", "tag")
+    __slots__ = ("down", "flow", "groups", "hidden", "mark", "number", "rows", "tag", "visible")
 
-    def __init__(self, tag: str, hidden: bool):
-        self.tag, self.hidden = tag, hidden
+    def __init__(self, tag: str, hidden: bool, visible: bool):
+        self.tag, self.hidden, self.visible = tag, hidden, visible
         self.flow: Flow | None = None  # set where the element collects lines of its own
         self.mark = ""
         self.number: int | None = None  # of an ordered list's next item; columns of a cell
@@ -158,6 +164,34 @@ def attributes(source: str) -> dict[str, str]:
     return out
 
 
+def declarations(style: str) -> dict[str, str]:
+    """Names and values of a style attribute, lower-case; of repeated names the last (a more important one stays)."""
+    out: dict[str, str] = {}
+    weight: dict[str, bool] = {}
+    for part in COMMENT.sub(" ", style).split(";"):
+        name, colon, value = part.partition(":")
+        name, value = name.strip().lower(), value.strip().lower()
+        head, mark, _ = value.partition("!")
+        important = bool(mark) and value[len(head) + 1 :].strip() == "important"
+        if colon and not (weight.get(name) and not important):
+            out[name], weight[name] = head.strip(), important
+    return out
+
+
+def shown(attrs: str, tag: str) -> tuple[bool, bool | None]:
+    """Whether an element with these attributes is laid out, and whether they make its text visible (None: as around it)."""
+    low = attrs.lower()
+    if tag != "dialog" and not ("hidden" in low or "style" in low):
+        return True, None
+    a = attributes(attrs)
+    own = declarations(a.get("style", ""))
+    laid = (a.get("hidden", "until-found").lower() == "until-found") and (tag != "dialog" or "open" in a)
+    if "display" in own:
+        laid = own["display"] != "none"
+    seen = own.get("visibility")
+    return laid, True if seen in ("visible", "initial") else False if seen in ("hidden", "collapse") else None
+
+
 def _whole(value: str | None, default: int, most: int = 10_000) -> int:
     m = re.match(r"\s*(-?\d{1,9})", value or "")
     return min(int(m[1]), most) if m else default
@@ -214,20 +248,25 @@ class Page:
         self.open: list[Element] = []
         self.hidden = 0
         self.pre = 0
-        self.count: dict[str, int] = {}
+        self.at: dict[str, list[int]] = {}  # where elements of a kind stand on the stack
+        self.tables: list[Element] = []  # open tables that collect rows
 
     def has(self, tag: str) -> bool:
-        return self.count.get(tag, 0) > 0
+        return bool(self.at.get(tag))
+
+    def last(self, tags) -> int:
+        """Where the innermost open element of these kinds stands; -1 without any."""
+        at = self.at
+        return max((at[t][-1] for t in tags if at.get(t)), default=-1)
 
     def _push(self, tag: str, attrs: str) -> None:
-        hidden = tag in UNSEEN
-        low = attrs.lower() if attrs else ""
-        if not hidden and low and ("hidden" in low or "none" in low or "collapse" in low):
-            a = attributes(attrs)
-            hidden = ("hidden" in a and a["hidden"].lower() != "until-found") or bool(HIDING.search(a.get("style", "")))
-        e = Element(tag, hidden)
+        hidden, visible = tag in UNSEEN, not self.open or self.open[-1].visible
+        if not hidden and (attrs or tag == "dialog"):
+            laid, own = shown(attrs, tag)
+            hidden, visible = not laid, visible if own is None else own
+        e = Element(tag, hidden, visible)
+        self.at.setdefault(tag, []).append(len(self.open))
         self.open.append(e)
-        self.count[tag] = self.count.get(tag, 0) + 1
         self.hidden += hidden
         if tag == "pre" or tag == "textarea":
             self.pre += 1
@@ -236,7 +275,7 @@ class Page:
         if tag in SECTIONS:
             self._group()
         flow = self.flows[-1]
-        nested = sum(self.count.get(t, 0) for t in LISTS) > 1
+        nested = sum(len(self.at.get(t, ())) for t in LISTS) > 1
         if tag in LISTS:
             flow.block(1 if nested else 2)
             if tag == "ol":
@@ -246,7 +285,8 @@ class Page:
         if len(self.flows) > DEEPEST:
             return
         if tag == "li":
-            owner = next((x for x in reversed(self.open[:-1]) if x.tag in LISTS), None)
+            holder = self.last(LISTS)
+            owner = self.open[holder] if holder >= 0 else None
             if owner is not None and owner.number is not None:
                 owner.number = _whole(attributes(attrs).get("value"), owner.number) if attrs else owner.number
                 e.mark = f"{owner.number}. "
@@ -258,6 +298,7 @@ class Page:
             e.mark, e.flow = "  ", Flow()
         elif tag == "table":
             e.rows, e.flow = [], Flow()  # the flow takes text that stands between cells
+            self.tables.append(e)
         elif tag in CELLS:
             e.flow = Flow()
             a = attributes(attrs) if attrs else {}
@@ -268,18 +309,19 @@ class Page:
 
     def _group(self) -> None:
         """The table's next row begins a row group."""
-        table = next((x for x in reversed(self.open) if x.rows is not None), None)
-        if table is not None:
-            table.groups.add(len(table.rows))
+        if self.tables:
+            self.tables[-1].groups.add(len(self.tables[-1].rows))
 
     def _pop(self) -> None:
         e = self.open.pop()
-        self.count[e.tag] -= 1
+        self.at[e.tag].pop()
+        if e.rows is not None:
+            self.tables.pop()
         if e.tag == "pre" or e.tag == "textarea":
             self.pre -= 1
-        shown = not self.hidden
+        laid = not self.hidden
         self.hidden -= e.hidden
-        if not shown:
+        if not laid:
             return
         if e.tag in SECTIONS:
             self._group()
@@ -287,13 +329,13 @@ class Page:
             lines = self.flows.pop().done()
             out = self.flows[-1]
             if e.tag in CELLS:
-                table = next((x for x in reversed(self.open) if x.rows is not None), None)
-                if table is None:
+                if not self.tables:
                     out.put(lines, 1)
                 else:
-                    if not table.rows:
-                        table.rows.append([])
-                    table.rows[-1].append((lines, e.number or 1, e.down))
+                    rows = self.tables[-1].rows
+                    if not rows:
+                        rows.append([])
+                    rows[-1].append((lines, e.number or 1, e.down))
             elif e.rows is not None:
                 body = aligned(placed(e.rows, e.groups))
                 out.put(lines + ([""] if lines and body else []) + body, 2)
@@ -305,7 +347,7 @@ class Page:
             if e.tag != "li" and e.tag not in CELLS and e.tag != "dd":
                 out.block(2)
         elif e.tag in LISTS:
-            self.flows[-1].block(1 if any(self.count.get(t, 0) for t in LISTS) else 2)
+            self.flows[-1].block(1 if self.last(LISTS) >= 0 else 2)
         elif e.tag in BLOCK:
             self.flows[-1].block(2 if e.tag in SPACED else 1)
         elif e.tag in CELLS:
@@ -324,34 +366,24 @@ class Page:
         if self.has("head") and tag not in IN_HEAD and tag != "head":
             self.end("head")
         if tag in ENDS_P and self.has("p"):
-            for i in range(len(self.open) - 1, -1, -1):
-                t = self.open[i].tag
-                if t == "p":
-                    self._close_to(i)
-                    break
-                if t in BARRIER or t == "button":
-                    break
+            at = self.at["p"][-1]
+            if at > self.last(P_BARRIER):
+                self._close_to(at)
         if tag in HEADINGS and self.open and self.open[-1].tag in HEADINGS:
             self._pop()
         rule = IMPLIED.get(tag)
         if rule is not None:
             ends, until = rule
-            lowest = None
-            for i in range(len(self.open) - 1, -1, -1):
-                t = self.open[i].tag
-                if t in until:
-                    break
-                if t in ends:
-                    lowest = i
+            edge = self.last(until)
+            places = (self.at.get(t, ()) for t in ends)
+            lowest = min((own[bisect_right(own, edge)] for own in places if own and own[-1] > edge), default=None)
             if lowest is not None:
                 self._close_to(lowest)
-        if tag in CELLS and self.has("table"):
-            inside = next((x.tag for x in reversed(self.open) if x.tag in ("tr", "table")), None)
-            if inside == "table":
-                self.start("tr", "")
-        if tag == "tr":
-            table = next((x for x in reversed(self.open) if x.tag == "table"), None)
-            if table is not None and table.rows is not None and not self.hidden:
+        if tag in CELLS and self.has("table") and self.last(("table",)) > self.last(("tr",)):
+            self.start("tr", "")
+        if tag == "tr" and self.has("table"):
+            table = self.open[self.at["table"][-1]]
+            if table.rows is not None and not self.hidden:
                 table.rows.append([])
         if tag in VOID:
             if not self.hidden:
@@ -373,16 +405,12 @@ class Page:
                 self.flows[-1].block(2)
             return
         scoped = tag not in ("td", "th", "tr", "table", "caption") and tag not in SECTIONS
-        for i in range(len(self.open) - 1, -1, -1):
-            t = self.open[i].tag
-            if t == tag or (tag in HEADINGS and t in HEADINGS):
-                self._close_to(i)
-                return
-            if (scoped and t in BARRIER) or (not scoped and t == "table"):
-                return
+        at = self.last(HEADINGS if tag in HEADINGS else (tag,))
+        if at >= self.last(BARRIER if scoped else ("table",)):
+            self._close_to(at)
 
     def text(self, s: str) -> None:
-        if not s or self.hidden:
+        if not s or self.hidden or (self.open and not self.open[-1].visible):
             return
         if "&" in s:
             s = unescape(s)

@@ -6,13 +6,16 @@ import random
 import re
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from conftest import SMALL
 from tokenizers import Tokenizer
 
-from sparkmine.llm import bin_slack, fingerprint, langid, probminhash, quality_fm, toxicity
+from sparkmine.llm import bin_slack, fingerprint, html_text, langid, probminhash, quality_fm, toxicity
 from sparkmine.llm.common import letter_line, text_shingles, words
 from sparkmine.llm.html_text import rendered
 
@@ -242,3 +245,72 @@ def test_crc_of_pieces_is_little_endian():
     data = bin_slack.token_bytes("Hello", *FILES, public_tokenizers.PATTERN)
     ids = [*Tokenizer.from_file(FILES[0]).encode("Hello", add_special_tokens=False).ids, 2]
     assert zlib.crc32(data) == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+@pytest.mark.parametrize("html, text", [
+    ('<div style="backface-visibility:hidden">seen</div>', "seen"),
+    ('<p style="color:red; visibility : HIDDEN">a</p>b', "b"),
+    ('<div style="visibility:hidden">a<b style="visibility:visible">b</b>c</div>d', "b\nd"),
+    ('<p style="x-display:none">a</p><p style="display:none">b</p>', "a"),
+    ('<p style="display:none !important;display:block">a</p>b', "b"),
+    ('<p style="display:none;display:block">a</p>', "a"),
+    ('<p style="/* display:none; */">a</p>', "a"),
+    ('<p hidden style="display:block">a</p><p hidden>b</p><p hidden=until-found>c</p>', "a\n\nc"),
+    ("<dialog>a</dialog><dialog open>b</dialog>", "b"),
+    ("<noscript>a</noscript><details><summary>b</summary>c</details>", "a\nb\nc"),
+    ('<table><tr><td style="visibility:collapse">k<td>m</table>', "  m"),
+])
+def test_visibility(html, text):
+    assert html_text.rendered(html) == text
+
+
+def test_long_pages_take_linear_time():
+    import time
+
+    def seconds(n):
+        pages = ("<div>" * n + "<li>" * n, "<ul>" + "<li>x" * n, "<table>" + "<tr><td>x" * n, "<p>x<b>" * n, "</p><option>" * n, "<dl>" + "<dt>x<dd>" * n)
+        start = time.process_time()
+        for page in pages:
+            html_text.rendered(page)
+        return time.process_time() - start
+
+    seconds(500)
+    few, many = (min(seconds(n) for _ in range(3)) for n in (1_000, 10_000))
+    assert many < 30 * few  # a hundred times, were it quadratic
+
+
+class Reader(HTMLParser):
+    """The words between tags, outside of what is never laid out."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.words, self.off, self.open = [], 0, []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_text.VOID:
+            return
+        a = dict(attrs)
+        hidden = tag in html_text.UNSEEN or "hidden" in a or "display:none" in (a.get("style") or "").replace(" ", "").lower()
+        self.open.append((tag, hidden))
+        self.off += hidden
+
+    def handle_endtag(self, tag):
+        while any(t == tag for t, _ in self.open):
+            t, hidden = self.open.pop()
+            self.off -= hidden
+            if t == tag:
+                break
+
+    def handle_data(self, data):
+        if not self.off:
+            self.words += re.findall(r"\w+", data)
+
+
+def test_pages_hold_the_words_of_another_reader():
+    """Words in order, without the numbers of ordered lists, on every page of the smallest tables."""
+    for (page,) in duckdb.connect().execute(f"SELECT html FROM '{SMALL}/pages.parquet' WHERE html IS NOT NULL").fetchall():
+        other = Reader()
+        other.feed(page)
+        other.close()
+        own = re.findall(r"\w+", html_text.rendered(re.sub(r"<ol[^>]*>", "<ul>", page)))
+        assert "".join(own) == "".join(other.words)
