@@ -27,8 +27,16 @@ from sparkmine.llm.common import mix64, partitions, text_shingles
 BINS, BITS = 256, 4
 EMPTY = "-"
 SCHEMA = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-# attempts for filling an empty bin: probe[a] is the bin that each bin asks in attempt a
-_PROBES = (mix64(np.arange(BINS * 64, dtype=np.uint64) + np.uint64(0x51ED27)) % np.uint64(BINS)).astype(np.int64).reshape(64, BINS)
+_FIRST = 16  # attempts that are looked at together at first; each time four times as many
+
+
+def probes(first: int, attempts: int, bins: np.ndarray) -> np.ndarray:
+    """The bins that each of ``bins`` asks in the attempts from ``first`` on, a row for an attempt."""
+    ask = (np.arange(first, first + attempts, dtype=np.uint64)[:, None] * np.uint64(BINS)) + bins.astype(np.uint64)[None, :]
+    return (mix64(ask + np.uint64(0x51ED27)) % np.uint64(BINS)).astype(np.int64)
+
+
+_PROBES = probes(0, _FIRST, np.arange(BINS))
 
 
 def signature(shingles: np.ndarray) -> np.ndarray | None:
@@ -40,16 +48,14 @@ def signature(shingles: np.ndarray) -> np.ndarray | None:
     np.minimum.at(low, at, mix64(shingles & np.uint64((1 << 56) - 1)) >> np.uint64(1))
     full = low != np.iinfo(np.uint64).max
     out, missing = low.copy(), np.flatnonzero(~full)
-    for ask in _PROBES:
-        if len(missing) == 0:
-            break
-        from_bin = ask[missing]
-        found = full[from_bin]
-        out[missing[found]] = low[from_bin[found]]
+    done, attempts = 0, _FIRST
+    while len(missing):
+        ask = _PROBES[:, missing] if done == 0 else probes(done, attempts, missing)
+        hit = full[ask]
+        found = hit.any(axis=0)
+        out[missing[found]] = low[ask[hit.argmax(axis=0)[found], np.flatnonzero(found)]]
         missing = missing[~found]
-    if len(missing):  # after all attempts: the next full bin in a circle
-        there = np.flatnonzero(full)
-        out[missing] = low[there[np.searchsorted(there, missing) % len(there)]]
+        done, attempts = done + attempts, min(4 * attempts, 1024)
     return (out & np.uint64((1 << BITS) - 1)).astype(np.uint8)
 
 

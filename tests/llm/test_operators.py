@@ -13,7 +13,7 @@ from odd_rows import no_docs, odd_docs, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 
 from sparkmine.llm import bin_slack, decontaminate, fingerprint, html_text, kd_shards, langid, probminhash, quality_fm, toxicity, url_rules
-from sparkmine.llm.common import bounded_sample, fold, text_shingles
+from sparkmine.llm.common import bounded_sample, fold, mix64, text_shingles
 from sparkmine.llm.components import components
 from sparkmine.llm.queries import HOST_RULES, QUERIES, URL_PATTERNS
 
@@ -103,6 +103,40 @@ def test_fingerprints(spark, odd_docs, odd_rows, no_docs):
     assert len(alone) == 1 and alone[0].near_next == 1.0
 
 
+def plain_signature(shingles):
+    """One bin after the other, asking until a full bin is met."""
+    one = lambda x: int(mix64(np.array([x], np.uint64))[0])
+    least = {}
+    for h in shingles.tolist():
+        value = one(h & ((1 << 56) - 1)) >> 1
+        least[h >> 56] = min(value, least.get(h >> 56, 1 << 64))
+    out = []
+    for b in range(fingerprint.BINS):
+        attempt, at = 0, b
+        while at not in least:
+            at = one((attempt * fingerprint.BINS + b + 0x51ED27) % (1 << 64)) % fingerprint.BINS
+            attempt += 1
+        out.append(least[at] & 15)
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 30, 120, 1000])
+def test_densification_against_one_bin_at_a_time(size):
+    shingles = np.unique(np.random.default_rng(size).integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+    assert fingerprint.signature(shingles).tolist() == plain_signature(shingles)
+
+
+def test_likeness_is_near_the_similarity():
+    rng = np.random.default_rng(3)
+    for common in (20, 100, 300):  # of 400 shingles
+        away = []
+        for _ in range(60):
+            x = rng.integers(0, 1 << 63, 800 - common, dtype=np.uint64) * np.uint64(2)
+            a, b = (fingerprint.signature(s) for s in (x[:400], x[400 - common :]))
+            away.append(fingerprint.likeness(a, b) - common / (800 - common))
+        assert abs(np.mean(away)) < 0.02 and np.std(away) < 0.06
+
+
 def test_html(spark):
     pages = [(1, "<p>a<p>b"), (2, None), (3, ""), (1, "<p>a<p>b"), (4, "<p>" + "w " * 100_000)]
     df = spark.createDataFrame(pages, "page_id long, html string")
