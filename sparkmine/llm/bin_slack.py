@@ -18,6 +18,7 @@ table gives no pieces. A text's mark for the end of text is read as the tokenize
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections import Counter
 from functools import lru_cache
@@ -62,23 +63,31 @@ class WordIds(dict):
 
 @lru_cache(maxsize=2)
 def _loaded(tokenizer_path: str, ranks_path: str, pattern: str):
-    """The tokenizer with its marks, and the same vocabulary as ranks, which encodes several times faster."""
+    """The tokenizer's marks, and its vocabulary as ranks, which encodes several times faster."""
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
     encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    return tokenizer, [t.content for t in tokenizer.get_added_tokens_decoder().values()], encode, WordIds(encode)
+    with open(tokenizer_path, encoding="utf-8") as f:
+        marks = [t["content"] for t in json.load(f).get("added_tokens", [])]
+    return marks, encode, WordIds(encode)
+
+
+@lru_cache(maxsize=1)
+def _tokenizer(path: str):
+    """The tokenizer itself, for texts with a mark only."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
 
 def token_bytes(text: str | None, tokenizer_path: str, ranks_path: str, pattern: str, end_id: int = END_ID) -> bytes:
     """All ids of a document, four bytes each, the end id last."""
-    tokenizer, marks, encode, words = _loaded(tokenizer_path, ranks_path, pattern)
+    marks, encode, words = _loaded(tokenizer_path, ranks_path, pattern)
     text = text or ""
     if any(m in text for m in marks):
-        body = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        body = np.array(_tokenizer(tokenizer_path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     else:
         first, *more = text.split(" ")
         try:
@@ -95,20 +104,23 @@ def pieces(
     """(id, piece, start, length, ids_crc32) of every piece; ids themselves stay in the task."""
 
     def cut(batches):
-        for b in batches:
-            for i in range(0, b.num_rows, 256):
-                part = b.slice(i, 256)
-                out = []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    data = token_bytes(text, tokenizer_path, ranks_path, pattern, end_id)
-                    n = len(data) // 4
-                    first = (n - 1) % capacity + 1
-                    edges = [0, *range(first, n + 1, capacity)]
-                    out += [(doc, k, s, e - s, zlib.crc32(data[4 * s : 4 * e])) for k, (s, e) in enumerate(zip(edges, edges[1:]))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
-                    ("doc", "piece", "start", "length", "ids_crc32"),
-                )
+        try:
+            for b in batches:
+                for i in range(0, b.num_rows, 256):
+                    part = b.slice(i, 256)
+                    out = []
+                    for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                        data = token_bytes(text, tokenizer_path, ranks_path, pattern, end_id)
+                        n = len(data) // 4
+                        first = (n - 1) % capacity + 1
+                        edges = [0, *range(first, n + 1, capacity)]
+                        out += [(doc, k, s, e - s, zlib.crc32(data[4 * s : 4 * e])) for k, (s, e) in enumerate(zip(edges, edges[1:]))]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
+                        ("doc", "piece", "start", "length", "ids_crc32"),
+                    )
+        finally:  # a worker process outlives its tasks
+            _loaded(tokenizer_path, ranks_path, pattern)[2].clear()
 
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).mapInArrow(
         cut, "doc long, piece int, start long, length long, ids_crc32 long"

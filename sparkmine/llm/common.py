@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.session import ensure_checkpoint_dir
+from sparkmine.session import ensure_checkpoint_dir, keep_until_release
 
 WORD = re.compile(r"\w+")
 SHINGLE_WORDS = 5
@@ -51,9 +51,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, text_cols: dict[str, str
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back (survives lost executors)."""
+    """Write ``df`` to the shared checkpoint folder and read it back (survives lost executors; ``session.release`` deletes it)."""
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    keep_until_release(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -82,7 +83,7 @@ def partitions(df: DataFrame) -> int:
 class WordHashes(dict):
     """word -> unsigned 64-bit hash, remembered; forgets everything at ``limit`` words."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 50_000):
         super().__init__()
         self.limit = limit
 
