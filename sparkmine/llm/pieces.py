@@ -24,6 +24,7 @@ import heapq
 import re
 import struct
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
-REMEMBERED = 100_000  # parts that a task keeps
+REMEMBERED = 100_000  # parts of a generation; a task keeps two
 SHORT = 32  # signs of a part up to which it is merged together with others
 ROWS = 2_000  # parts that are merged together
 SIGNS_AT_ONCE = 500_000  # signs of the texts that are encoded together (one text more may follow)
@@ -236,10 +237,9 @@ class Encoder:
         across = any(BLANK in n.lstrip(BLANK) for n in usable)
         # a part: blanks and what follows them up to the next blank; all at once if a piece reaches across
         self.part = re.compile("(?s).+" if across or not model.escape else f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+").findall
-        self.parts: dict[str, bytes] = {}  # 32-bit ids; bytes, as lists by the hundred thousand would slow the garbage collector
-        self.spans: dict[str, bytes] = {}
+        self.forget()
         self.size = np.array(self.sizes, np.int32)
-        self.sign = np.arange(0x110000, dtype=np.int64) + len(model.names)
+        self.sign = np.arange(0x110000, dtype=np.int32) + len(model.names)
         for n, i in usable.items():
             if len(n) == 1:
                 self.sign[ord(n)] = i
@@ -335,12 +335,22 @@ class Encoder:
                 spans.extend([*[0] * (len(data) - 1), len(data)])
         return np.array(ids, np.int32).tobytes(), np.array(spans, np.int32).tobytes()
 
+    def forget(self) -> None:
+        # 32-bit numbers as bytes, since lists by the hundred thousand would slow the garbage collector; and the generation before
+        self.parts: dict[str, bytes] = {}
+        self.spans: dict[str, bytes] = {}
+        self.old = ({}, {})
+
     def remember(self, parts: set[str]) -> None:
-        """Put the pieces of all these parts into ``parts`` and ``spans``."""
+        """Put the pieces of all these parts into ``parts`` and ``spans``; when those are full, they become the old ones."""
         if len(self.parts) + len(parts) > REMEMBERED:
-            self.parts.clear()
-            self.spans.clear()
-        new = sorted(parts.difference(self.parts), key=len)
+            self.old = self.parts, self.spans
+            self.parts, self.spans = {}, {}
+        new = parts.difference(self.parts)
+        again = new.intersection(self.old[0])
+        self.parts.update(zip(again, map(self.old[0].__getitem__, again)))
+        self.spans.update(zip(again, map(self.old[1].__getitem__, again)))
+        new = sorted(new - again, key=len)
         short = bisect.bisect_right(new, SHORT, key=len)
         for at in range(0, short, ROWS):  # of nearly equal lengths
             rows = new[at : min(at + ROWS, short)]
@@ -462,21 +472,24 @@ def encoded(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col:
     """
 
     def pieces(batches):
-        encoder = Encoder(_model(model_file))
+        encoder = _encoder(model_file)
         m = encoder.model
         mark = lambda at: np.array([at], np.int32)
-        for b in batches:
-            for part in _slices(b, 1):
-                texts = _texts(part.column(1))
-                ids, starts, ends = encoder.encode_all(texts)
-                if begin:
-                    ids = [np.append(mark(m.begin), x) for x in ids]
-                    starts, ends = ([np.append(mark(0), x) for x in xs] for xs in (starts, ends))
-                if end:
-                    ids = [np.append(x, mark(m.end)) for x in ids]
-                    last = [len(t.encode()) for t in texts]
-                    starts, ends = ([np.append(x, n) for x, n in zip(xs, last, strict=True)] for xs in (starts, ends))
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids), _lists(starts), _lists(ends)], ("id", "ids", "starts", "ends"))
+        try:
+            for b in batches:
+                for part in _slices(b, 1):
+                    texts = _texts(part.column(1))
+                    ids, starts, ends = encoder.encode_all(texts)
+                    if begin:
+                        ids = [np.append(mark(m.begin), x) for x in ids]
+                        starts, ends = ([np.append(mark(0), x) for x in xs] for xs in (starts, ends))
+                    if end:
+                        ids = [np.append(x, mark(m.end)) for x in ids]
+                        last = [len(t.encode()) for t in texts]
+                        starts, ends = ([np.append(x, n) for x, n in zip(xs, last, strict=True)] for xs in (starts, ends))
+                    yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids), _lists(starts), _lists(ends)], ("id", "ids", "starts", "ends"))
+        finally:
+            encoder.forget()
 
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = own.schema["id"].dataType.simpleString()
@@ -513,6 +526,12 @@ def digests(pieces: DataFrame, model_file: str, id_col: str = "doc_id") -> DataF
     ).withColumnRenamed("id", id_col)
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    return Encoder(_model(path))
+
+
+@lru_cache(maxsize=1)
 def _model(path: str) -> Model:
     with open(path, "rb") as f:
         return Model.read(f.read())
