@@ -128,12 +128,12 @@ def shingle_hashes(w: np.ndarray, k: int = SHINGLE_WORDS) -> np.ndarray:
     return mix64(acc)
 
 
-def text_shingles(text: str | None) -> np.ndarray:
+def text_shingles(text: str | None, k: int = SHINGLE_WORDS) -> np.ndarray:
     """Shingle hashes of a text in order. Text without a word character is one shingle as a whole; empty text has none."""
     w = word_hashes(text)
     if len(w) == 0 and text and text.strip():
         return np.array([xxhash.xxh3_64_intdigest(text.strip().encode("utf-8", "surrogatepass"), seed=1)], np.uint64)
-    return shingle_hashes(w)
+    return shingle_hashes(w, k)
 
 
 def letters() -> np.ndarray:

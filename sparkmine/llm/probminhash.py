@@ -22,11 +22,14 @@ a 64-bit hash, are judged each on its own, also under one id; a row without an i
 through its text; a class's id is its least document id, and where that is the least of several
 classes, the one whose text has the least hash takes it and the others' ids are numbers over all
 usual ids; empty tables give no rows. Whole texts count. At similarity 0.8 the bands miss one pair in 20,000 and the register
-test one in 200,000.
+test one in 200,000. Full buckets are joined in tiles of bounded work. ``LOOSE`` finds texts with scattered edits, of which five
+words and 0.8 link few: one changed word of a text costs five shingles.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -34,51 +37,73 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmine.llm.common import SIMILARITY, arrow_rows, each_text, mix64, saved, text_shingles
+from sparkmine.llm.common import SHINGLE_WORDS, SIMILARITY, arrow_rows, each_text, mix64, saved, text_shingles
 from sparkmine.llm.components import components
+from sparkmine.operators.skew import hot_keys, salted_join
 
-BANDS, ROWS = 25, 5
-REGISTERS = BANDS * ROWS
 SLACK = 0.16  # registers may agree this much less than the threshold (four and a half standard errors)
 PRUNINGS = 2  # rounds that put aside texts which cannot have a link left
 TEXT_ROWS, PAIR_ROWS = 2_000, 500  # rows that an Arrow batch of texts, or of pairs of sets, may hold
 
 
-def weighted_shingles(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+@dataclass(frozen=True)
+class Scheme:
+    """What counts as alike, and the bands that find it."""
+
+    words: int = SHINGLE_WORDS
+    threshold: float = SIMILARITY
+    bands: int = 25
+    rows: int = 5
+
+    @property
+    def registers(self) -> int:
+        return self.bands * self.rows
+
+    def missed(self, similarity: float) -> float:
+        """Share of pairs of this similarity that no band finds."""
+        return (1.0 - similarity**self.rows) ** self.bands
+
+
+STRICT = Scheme()
+# for texts with scattered edits: a changed word costs three shingles instead of five
+LOOSE = Scheme(words=3, threshold=0.6, bands=32, rows=4)
+
+
+def weighted_shingles(text: str | None, words: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes in ascending order and how often each occurs."""
-    return np.unique(text_shingles(text), return_counts=True)
+    return np.unique(text_shingles(text, words), return_counts=True)
 
 
 def weights(counts: np.ndarray) -> np.ndarray:
     return 1.0 + np.log(counts)
 
 
-def prob_minhash(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """One row of ``REGISTERS`` shingle hashes for each (hashes, counts); 0 everywhere for an empty set.
+def prob_minhash(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = STRICT.registers) -> np.ndarray:
+    """One row of ``registers`` shingle hashes for each (hashes, counts); 0 everywhere for an empty set.
 
     All sets advance together, one arrival of every shingle that is still early enough at a time.
     """
     n = len(sets)
-    sig = np.zeros(n * REGISTERS, np.uint64)
+    sig = np.zeros(n * registers, np.uint64)
     if not any(len(h) for h, _ in sets):
-        return sig.reshape(n, REGISTERS)
+        return sig.reshape(n, registers)
     elem = np.concatenate([h for h, _ in sets])
     seg = np.repeat(np.arange(n), [len(h) for h, _ in sets])
     rate = weights(np.concatenate([c for _, c in sets]))
     at = np.zeros(len(elem))
-    first = np.full(n * REGISTERS, np.inf)
+    first = np.full(n * registers, np.inf)
     step = 0
     while len(elem):
         step += 1
         draw = mix64(elem + np.uint64(step * 0x9E3779B97F4A7C15 % (1 << 64)))
         at = at - np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / rate
-        reg = seg * REGISTERS + (mix64(draw) % np.uint64(REGISTERS)).astype(np.int64)
+        reg = seg * registers + (mix64(draw) % np.uint64(registers)).astype(np.int64)
         np.minimum.at(first, reg, at)
         won = first[reg] == at
         sig[reg[won]] = elem[won]
-        early = at < first.reshape(n, REGISTERS).max(axis=1)[seg]
+        early = at < first.reshape(n, registers).max(axis=1)[seg]
         elem, seg, rate, at = elem[early], seg[early], rate[early], at[early]
-    return sig.reshape(n, REGISTERS)
+    return sig.reshape(n, registers)
 
 
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -124,7 +149,7 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(own.alias("id"), id_number(own, text).alias("number"), text_key(text).alias("key"), text.alias("text"))
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def signatures(docs: DataFrame, id_col: str, text_col: str, scheme: Scheme = STRICT) -> DataFrame:
     """(id, number, key, bands, sig): number of the id, key of the text, one hash for each band, low bits of the registers.
 
     The hashing of a text is repeated for equal texts of other batches only.
@@ -138,12 +163,12 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 keys = [_key(t) for t in texts]
                 own = {k: n for n, k in enumerate(dict.fromkeys(keys))}
                 text_of = dict(zip(keys, texts, strict=True))
-                sets = [weighted_shingles(text_of[k]) for k in own]
-                sig = prob_minhash(sets)
-                band = np.zeros((len(own), BANDS), np.uint64)
-                for r in range(ROWS):
-                    band = mix64(band * np.uint64(31) + sig[:, r::ROWS])
-                band = mix64(band + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+                sets = [weighted_shingles(text_of[k], scheme.words) for k in own]
+                sig = prob_minhash(sets, scheme.registers)
+                band = np.zeros((len(own), scheme.bands), np.uint64)
+                for r in range(scheme.rows):
+                    band = mix64(band * np.uint64(31) + sig[:, r :: scheme.rows])
+                band = mix64(band + np.arange(scheme.bands, dtype=np.uint64)).view(np.int64)
                 low = (mix64(sig) & np.uint64(255)).astype(np.uint8)
                 bands = [band[n].tolist() if len(sets[n][0]) else [] for n in range(len(own))]
                 at = [own[k] for k in keys]
@@ -161,13 +186,13 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _agreement(a: Column, b: Column) -> Column:
     @F.pandas_udf("double")
     def agree(x: pd.Series, y: pd.Series) -> pd.Series:
-        p, q = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), REGISTERS) for s in (x, y))
+        p, q = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1) for s in (x, y))
         return pd.Series((p == q).mean(axis=1))
 
     return agree.asNondeterministic()(a, b)
 
 
-def shingle_table(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+def shingle_table(texts: DataFrame, nodes: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """(node, h, c, weight): distinct shingles, their counts and their whole weight, of these nodes' texts.
 
     ``nodes`` (node, number, key) name one id of each text, so of many copies one is shingled.
@@ -175,7 +200,7 @@ def shingle_table(texts: DataFrame, nodes: DataFrame) -> DataFrame:
 
     @F.pandas_udf("h array<long>, c array<int>, weight double")
     def shingled(t: pd.Series) -> pd.DataFrame:
-        sets = [weighted_shingles(x) for x in each_text(t)]
+        sets = [weighted_shingles(x, words) for x in each_text(t)]
         return pd.DataFrame({"h": [h.view(np.int64) for h, _ in sets], "c": [c.astype(np.int32) for _, c in sets], "weight": [float(weights(c).sum()) for _, c in sets]})
 
     own = texts.join(nodes, ["number", "key"]).dropDuplicates(["number", "key"])
@@ -255,12 +280,12 @@ def links_between(placed: DataFrame, tested: DataFrame, reps: DataFrame, sets: D
         shared = rows.select("node", "size", "weight", "common", "alone").distinct()
         rows = saved(mixed(rows).join(shared, "node"), "open")
     rows = rows.join(reps.select("node", "bands"), "node")
-    x = rows.filter("comp <> main").select(*(F.col(c).alias(f"x_{c}") for c in ("bucket", "node", "comp", "size", "weight", "common", "alone", "bands")))
+    x = rows.filter("comp <> main").select("bucket", *(F.col(c).alias(f"x_{c}") for c in ("node", "comp", "size", "weight", "common", "alone", "bands")))
     bound = most_alike(*(F.col(f"{p}{c}") for p in ("x_", "") for c in ("size", "weight", "common", "alone")))
     # a pair that shares several buckets is formed in the first of them only
     first = F.get(F.array_intersect("x_bands", "bands"), 0) == F.col("bucket")
     once = (F.col("comp") == F.col("main")) | (F.col("x_node") < F.col("node"))
-    across = x.join(rows, (F.col("x_bucket") == F.col("bucket")) & (F.col("x_comp") != F.col("comp")) & once & (bound >= threshold) & first)
+    across = salted_join(x, rows, ["bucket"], hot_keys(x, ["bucket"], rows)).filter((F.col("x_comp") != F.col("comp")) & once & (bound >= threshold) & first)
     pairs = across.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
     return verified(pairs.join(tested, ["a", "b"], "left_anti"), reps, sets, threshold)
 
@@ -284,15 +309,15 @@ def named(members: DataFrame) -> DataFrame:
     return settled(classes, claims(classes), "class_id").select("class", "class_id", "stand")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scheme: Scheme = STRICT) -> DataFrame:
     """(id, class_id): every row of ``docs`` with the id of its class of near copies."""
-    return classified(docs, id_col, text_col, threshold).select(F.col("id").alias(id_col), "class_id")
+    return classified(docs, id_col, text_col, scheme).select(F.col("id").alias(id_col), "class_id")
 
 
-def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
+def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scheme: Scheme = STRICT) -> DataFrame:
     """(id, number, key, class_id, stands): every row with its number, its class, and whether its id and text are the class's first."""
     with arrow_rows(docs.sparkSession, TEXT_ROWS):
-        signed = saved(signatures(docs, id_col, text_col), "signed")
+        signed = saved(signatures(docs, id_col, text_col, scheme), "signed")
     # exact copies are one node: the least of their ids, if no unlike text has taken it
     reps = saved(
         signed.groupBy("key").agg(F.min("number").alias("number"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n")), "reps"
@@ -305,12 +330,12 @@ def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = saved(rows.join(shared.drop("n"), "bucket"), "members")
     with arrow_rows(docs.sparkSession, TEXT_ROWS):
         asked = reps.select("node", "number", "key").join(members.select("node").distinct(), "node", "left_semi")
-        sets = saved(shingle_table(numbered(docs, id_col, text_col).select("number", "key", "text"), asked), "shingles")
+        sets = saved(shingle_table(numbered(docs, id_col, text_col).select("number", "key", "text"), asked, scheme.words), "shingles")
 
     tested = members.filter("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    comps = saved(components(verified(tested, reps, sets, threshold)), "comps")
+    comps = saved(components(verified(tested, reps, sets, scheme.threshold)), "comps")
     placed = members.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-    more = links_between(placed, tested, reps, sets, threshold)
+    more = links_between(placed, tested, reps, sets, scheme.threshold)
     # the new links join whole components
     ends = more.join(comps.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left").join(comps.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b", "left")
     merged = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))

@@ -17,6 +17,7 @@ from sparkmine.llm.common import bounded_sample, fold, mix64, text_shingles
 from sparkmine.llm.components import components
 from sparkmine.llm.queries import HOST_RULES, QUERIES, URL_PATTERNS
 
+MIDDLE = SMALL.replace("0.001", "0.01")
 FILES = [public_tokenizers.path(f"byte_bpe_50k.{k}") for k in ("json", "tiktoken")]
 RULES = [url_rules.host_rule(*r) for r in HOST_RULES] + URL_PATTERNS
 
@@ -249,15 +250,72 @@ def test_simhash_against_brute_force(spark):
 def test_blocks_find_everything_in_the_radius(spark):
     rnd = np.random.default_rng(0)
     pairs = []
-    for _ in range(300):
+    for n in range(600):
         x = int(rnd.integers(0, 1 << 62))
         y = x
-        for b in rnd.choice(63, 21, replace=False):
+        for b in rnd.choice(63, n % (decontaminate.RADIUS + 1), replace=False):
             y ^= 1 << int(b)
         pairs.append((x, y))
     df = spark.createDataFrame(pairs, "x long, y long")
-    common = F.array_size(F.array_intersect(decontaminate.blocks(F.col("x"), 21), decontaminate.blocks(F.col("y"), 21)))
+    common = F.array_size(F.array_intersect(decontaminate.blocks(F.col("x"), away=1), decontaminate.blocks(F.col("y"))))
     assert df.filter(common == 0).count() == 0
+    # and leave most of the others out
+    far = spark.createDataFrame([(int(a), int(b)) for a, b in rnd.integers(-(1 << 63), (1 << 63) - 1, (2000, 2))], "x long, y long")
+    assert far.filter(common > 0).count() < 0.6 * 2000
+
+
+def test_edited_passages_are_found(spark):
+    """Passages with replaced, dropped and added words, as far as their true similarity is 0.8 or more."""
+    import random
+
+    rnd, items, docs = random.Random(8), [], []
+    for i in range(50):
+        w = prose(f"item{i}", rnd.randrange(40, 160)).split()
+        items.append((i, " ".join(w)))
+        own = list(w)
+        for _ in range(rnd.randrange(0, 1 + len(w) // 45)):
+            at = rnd.randrange(len(own))
+            own[at : at + rnd.randrange(2)] = [f"new{rnd.randrange(10**6)}"]
+        docs.append((i, f"{prose(f'a{i}', 40)} {' '.join(own)} {prose(f'b{i}', 30)}"))
+    want = {k: v[2] for k, v in brute_contaminated(docs, items).items()}
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(d, b).collect()}
+    assert len(want) > 25 and sum(s < 0.9 for s in want.values()) > 6
+    assert set(got) <= set(want) and len(got) >= len(want) - 1 and all(got[k] == pytest.approx(want[k]) for k in got)
+    assert {k for k, s in want.items() if s > 0.88} <= set(got)
+
+
+def test_decontamination_keeps_clashing_columns(spark):
+    item = prose("clash", 30)
+    d = spark.createDataFrame([(1, item, 7), (2, prose("z", 30), 8)], "doc_id long, text string, bad int").withColumn("_bad", F.lit(1))
+    b = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert rows(decontaminate.decontaminated(d, b)) == [(2, prose("z", 30), 8, 1)]
+
+
+def test_loose_scheme_finds_copies_with_scattered_edits(spark):
+    """Held against another measure: unlike texts whose sets of five characters have a Jaccard similarity over 0.8."""
+    import duckdb
+
+    text = dict(duckdb.connect().execute(f"SELECT doc_id, text FROM '{MIDDLE}/documents.parquet'").fetchall())
+    sets, by_gram = {}, defaultdict(list)
+    for t in set(text.values()):
+        sets[t] = {t[i : i + 5] for i in range(max(0, len(t) - 4))}
+        for g in sorted(sets[t], key=lambda g: zlib.crc32(g.encode()))[:40]:  # the least hashes: alike sets share some
+            by_gram[g].append(t)
+    alike = {(a, b) for ts in by_gram.values() if len(ts) < 100 for a in ts for b in ts if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(alike) > 50
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    found = {}
+    for scheme in (probminhash.STRICT, probminhash.LOOSE):
+        of = {text[i]: c for i, c in rows(probminhash.near_duplicates(docs, scheme=scheme))}
+        found[scheme] = sum(of[a] == of[b] for a, b in alike) / len(alike)
+        classes = defaultdict(list)
+        for t, c in of.items():
+            classes[c].append(t)
+        unlike = [own for own in classes.values() if len(own) > 1 and any(all(len(sets[a] & sets[b]) < 0.4 * len(sets[a] | sets[b]) for b in own if b is not a) for a in own)]
+        assert len(unlike) <= (6 if scheme is probminhash.LOOSE else 0)
+    assert found[probminhash.LOOSE] >= 0.95 and found[probminhash.STRICT] <= found[probminhash.LOOSE]
+    assert probminhash.STRICT.missed(0.8) < 1e-4 and probminhash.LOOSE.missed(0.6) < 0.02
 
 
 def brute_classes(data, threshold=0.8):

@@ -116,12 +116,12 @@ def test_registers_keep_the_first_arrivals():
     from sparkmine.llm.common import mix64
 
     h, c = probminhash.weighted_shingles(" ".join(map(str, range(40))) + " 0 1 2 3 4 5 6")
-    first, who = np.full(probminhash.REGISTERS, np.inf), np.zeros(probminhash.REGISTERS, np.uint64)
+    first, who = np.full(probminhash.STRICT.registers, np.inf), np.zeros(probminhash.STRICT.registers, np.uint64)
     at = np.zeros(len(h))
     for step in range(1, 400):
         draw = mix64(h + np.uint64(step * 0x9E3779B97F4A7C15 % (1 << 64)))
         at = at - np.log(((draw >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53) / probminhash.weights(c)
-        for e, t, r in zip(h, at, mix64(draw) % np.uint64(probminhash.REGISTERS), strict=True):
+        for e, t, r in zip(h, at, mix64(draw) % np.uint64(probminhash.STRICT.registers), strict=True):
             if t < first[int(r)]:
                 first[int(r)], who[int(r)] = t, e
     assert (probminhash.prob_minhash([(h, c)])[0] == who).all()
