@@ -8,8 +8,8 @@ values one bit away finds all of them; the weighted shingle
 similarity (sum of least over sum of largest counts) of window and item then decides.
 
 A window without any shingle of an item has similarity zero, so windows are formed only around
-words where some shingle of a same-sized item begins. All texts are hashed once for that; texts that hold such
-a shingle are then fetched by id and text hash and hashed again, the others are not. All is DataFrame functions: counts
+words where some shingle of a same-sized item begins. All texts are hashed once for that, and only those that hold such
+a shingle leave the task. All is DataFrame functions: counts
 of the 64 bits are summed side by side in the lanes of whole numbers.
 
 Defined results: items and texts that are null or have no word match nothing; items of fewer
@@ -120,6 +120,29 @@ def contaminated(
     return out.groupBy("id", "item").agg(best.alias("b")).select(F.col("id").alias(id_col), F.col("item").alias(item_col), "b.start", "b.words", "b.similarity")
 
 
+def hashed(texts: DataFrame, k: int) -> DataFrame:
+    return texts.withColumn("w", word_hashes(F.col("text"))).withColumn("s", shingle_array(F.col("w"), k)).select("id", "row", "s")
+
+
+def marked_texts(own: DataFrame, marks: DataFrame, n_marks: int, k: int) -> DataFrame:
+    """(id, row, s, places array<struct<m, pos>>): the texts with a shingle of ``marks`` (m, sh), their shingles, and where.
+
+    While the marks are few, shingles meet them in the task that has hashed the text, and only texts with a
+    mark leave it. A larger benchmark makes this join a shuffle of shingles; then ids of texts with a
+    mark come back, and only these texts are hashed again.
+    """
+    # (the outer form: Spark would otherwise test the shingles' number below, computing them again and again)
+    place = F.collect_set(F.struct("m", "pos")).alias("places")
+    if n_marks <= MAX_BROADCAST:
+        met = hashed(own, k).select("id", "row", "s", F.posexplode_outer("s").alias("pos", "sh")).join(F.broadcast(marks), "sh")
+        return met.groupBy("id", "row").agg(F.first("s").alias("s"), place)
+    met = hashed(own, k).select("id", "row", F.posexplode_outer("s").alias("pos", "sh")).join(marks, "sh")
+    hits = saved(met.groupBy("id", "row").agg(place), "hits")
+    same = own["id"].eqNullSafe(hits["id"]) & (own["row"] == hits["row"])
+    texts = hashed(own.join(hits.select("id", "row"), same, "left_semi").dropDuplicates(["id", "row"]), k)
+    return texts.join(hits, texts["id"].eqNullSafe(hits["id"]) & (texts["row"] == hits["row"])).select(texts["id"], texts["row"], "s", "places")
+
+
 def _contaminated(docs, bench, k, longest, id_col, text_col, threshold) -> DataFrame:
     most = longest - k + 1
     bench = saved(
@@ -127,24 +150,16 @@ def _contaminated(docs, bench, k, longest, id_col, text_col, threshold) -> DataF
     )
     own = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
 
-    def hashed(texts):
-        return texts.withColumn("w", word_hashes(F.col("text"))).withColumn("s", shingle_array(F.col("w"), k)).select("id", "row", "s")
-
-    # where a shingle of some item begins in a text, by the size of the item
+    # texts that hold a shingle of some item, and where, by the size of the item
     marks = bench.select("m", F.explode("s").alias("sh")).distinct()
     n_marks = marks.count()
-    # (the outer form: Spark would otherwise test the shingles' number below, computing them again and again)
-    places = hashed(own).select("id", "row", F.posexplode_outer("s").alias("pos", "sh")).join(_small(marks, n_marks), "sh")
-    hits = saved(places.groupBy("id", "row", "m").agg(F.collect_set("pos").alias("pos")), "hits")
-
-    # the texts that have any, each once
-    same = own["id"].eqNullSafe(hits["id"]) & (own["row"] == hits["row"])
-    texts = saved(hashed(own.join(hits.select("id", "row").distinct(), same, "left_semi").dropDuplicates(["id", "row"])), "texts")
+    texts = saved(marked_texts(own, marks, n_marks, k), "texts")
 
     # windows around those places
-    there = texts.join(hits, texts["id"].eqNullSafe(hits["id"]) & (texts["row"] == hits["row"])).drop(hits["id"]).drop(hits["row"])
+    there = texts.withColumn("m", F.explode(F.array_distinct(F.transform("places", lambda p: p["m"]))))
     last = F.greatest(F.lit(0), F.array_size("s") + F.lit(k - 1) - F.col("m"))
-    starts = F.array_distinct(F.flatten(F.transform("pos", lambda p: F.sequence(F.greatest(F.lit(0), F.least(last, p - F.col("m") + F.lit(k))), F.least(last, p)))))
+    around = lambda p: F.sequence(F.greatest(F.lit(0), F.least(last, p["pos"] - F.col("m") + F.lit(k))), F.least(last, p["pos"]))
+    starts = F.array_distinct(F.flatten(F.transform(F.filter("places", lambda p: p["m"] == F.col("m")), around)))
     window = F.slice("s", F.col("start") + F.lit(1), F.col("m") - F.lit(k - 1))
     windows = saved(
         there.withColumn("start", F.explode_outer(starts)).withColumn("window", window).select("id", "row", "m", "start", simhash(F.col("window"), most).alias("fp")), "windows"

@@ -213,7 +213,9 @@ def brute_contaminated(docs, items, threshold=0.8):
     return out
 
 
-def test_decontamination_against_brute_force(spark, no_docs):
+@pytest.mark.parametrize("most", [decontaminate.MAX_BROADCAST, 0])
+def test_decontamination_against_brute_force(spark, no_docs, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST", most)  # 0: as with a large benchmark
     item = prose("item", 40)
     w = item.split()
     long_item = prose("long", 130)
