@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmine.functions.text import INCLUDE_LAST, SHINGLE_LEN, set_fingerprints, shingle_array
+from sparkmine.operators.numbering import numbered
+from sparkmine.operators.skew import hot_keys, salted_join
 from sparkmine.sources.tables import spread
 
 
@@ -73,3 +75,18 @@ def set_rows(sets: DataFrame) -> DataFrame:
 def first_offsets(rows: DataFrame) -> DataFrame:
     """``(id, shingle, off)`` with the first offset of each shingle in each paragraph."""
     return rows.groupBy("id", "shingle").agg(F.min("off").alias("off"))
+
+
+def shingle_ids(vocab: DataFrame) -> DataFrame:
+    """``(shingle, sid)``: numbers 0 .. V-1 of the vocabulary in the order of its shingles, without a gap."""
+    return numbered(vocab.select("shingle"), "shingle", "sid")
+
+
+def id_vectors(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(id, size, sids)``: each paragraph's binary vector as the ascending numbers of its shingles.
+
+    Rows of a shingle that very many paragraphs have meet its one number in tiles.
+    """
+    rows = set_rows(sets)
+    met = salted_join(rows, ids, ["shingle"], hot_keys(rows, ["shingle"], ids))
+    return met.groupBy("id").agg(F.array_sort(F.collect_list("sid")).alias("sids")).select("id", F.array_size("sids").alias("size"), "sids")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sparkmine.operators import clustering as C
+from sparkmine.operators import lsh as LSH
 from sparkmine.operators import shingles as S
 from sparkmine.operators import similarity as SIM
 from sparkmine.sources import text as io
+from sparkmine.session import materialize
 from sparkmine.sources.tables import table
 
 MAX_D = SIM.DEFAULT_MAX_DISTANCE
@@ -103,9 +107,36 @@ def minhash_pairs(spark, sf_dir):
 
 
 def pic_clusters(spark, sf_dir):
-    """Power iteration clustering of the MinHash similarity graph, a row for every paragraph."""
-    assign = C.pic_clusters(SIM.similarity_edges(minhash_pairs(spark, sf_dir)))
-    return C.with_isolated(assign, paragraphs(spark, sf_dir))
+    """Power iteration clustering of the whole similarity graph at 0.6, a row for every paragraph."""
+    tsets = materialize(S.token_sets(S.shingle_sets(paragraphs(spark, sf_dir))), "token-sets")
+    rep_pairs, members = SIM.rep_jaccard_pairs(tsets, MAX_D)
+    return C.with_isolated(C.power_clusters(materialize(rep_pairs, "rep-pairs"), materialize(members, "members")), paragraphs(spark, sf_dir))
+
+
+def shingle_ids(spark, sf_dir):
+    return S.shingle_ids(S.vocabulary(S.shingle_sets(paragraphs(spark, sf_dir))))
+
+
+def paragraph_vectors(spark, sf_dir):
+    """Every paragraph's binary vector over the numbered vocabulary, as a line of ascending numbers."""
+    sets = materialize(S.shingle_sets(paragraphs(spark, sf_dir)).select("id", "shingles"), "shingle-sets")
+    rows = S.id_vectors(sets, S.shingle_ids(S.vocabulary(sets)))
+    return rows.select("id", "size", F.concat_ws(",", F.transform("sids", lambda x: x.cast("string"))).alias("sids"))
+
+
+def minhash_signatures(spark, sf_dir):
+    """25 MinHash values of every paragraph."""
+    return LSH.signatures(S.shingle_sets(paragraphs(spark, sf_dir)), SIM.NUM_HASH_TABLES).select("id", F.concat_ws(",", F.transform("hashes", lambda x: x.cast("string"))).alias("hashes"))
+
+
+def incremental_band_pairs(spark, sf_dir):
+    """Pairs of an old and a new paragraph (even and odd ids) that share one of 8 bands of 3 values, by the stored index."""
+    sets = materialize(S.shingle_sets(paragraphs(spark, sf_dir)).select("id", "shingles"), "shingle-sets")
+    index = LSH.BandIndex(spark, f"bands_{uuid.uuid4().hex}", SIM.NEAR_DUP_BANDS * SIM.NEAR_DUP_ROWS, SIM.NEAR_DUP_ROWS)
+    index.add(sets.where("id % 2 = 0"))
+    pairs = materialize(index.probe(sets.where("id % 2 <> 0")), "probed")
+    index.drop()
+    return pairs
 
 
 def cluster_lines(spark, sf_dir):
@@ -163,6 +194,38 @@ SELECT t.idA, t.idB, a.shingle, a.off AS offA, b.off AS offB
 FROM t JOIN f a ON a.id = t.idA JOIN f b ON b.id = t.idB AND b.shingle = a.shingle
 """
 
+
+
+def _signatures_sql(tables: int) -> str:
+    least = ", ".join(f"min(((x + 1) * {a} + {b}) % {LSH.PRIME})" for a, b in LSH.coefficients(tables))
+    return f"SELECT id, [{least}] AS hashes FROM (SELECT id, CAST('0x' || left(md5(shingle), 8) AS BIGINT) AS x FROM ({_SETS})) GROUP BY id"
+
+
+def _clusters_sql(rounds: int) -> str:
+    """The same vector paragraph by paragraph (no contracted copies), its rounds written out, and every cut compared."""
+    one = C.MEAN_ONE
+    parts = [f"""pairs AS MATERIALIZED ({_PAIRS}),
+e AS MATERIALIZED (SELECT idA AS a, idB AS b, CAST(round((1.0 - distance) * {C.WEIGHT_ONE}) AS HUGEINT) AS w FROM pairs
+      UNION ALL SELECT idB, idA, CAST(round((1.0 - distance) * {C.WEIGHT_ONE}) AS HUGEINT) FROM pairs),
+deg AS MATERIALIZED (SELECT a AS id, CAST(sum(w) AS HUGEINT) AS d FROM e GROUP BY a),
+v0 AS MATERIALIZED (SELECT id, d * ({one} * (SELECT count(*) FROM deg)::HUGEINT) // (SELECT sum(d)::HUGEINT FROM deg) AS v FROM deg)"""]
+    for r in range(rounds):
+        parts.append(f"""u{r} AS MATERIALIZED (SELECT e.a AS id, CAST(sum(e.w * v.v) AS HUGEINT) // any_value(deg.d) AS u
+  FROM e JOIN v{r} v ON v.id = e.b JOIN deg ON deg.id = e.a GROUP BY e.a),
+v{r + 1} AS MATERIALIZED (SELECT id, u * ({one} * (SELECT count(*) FROM u{r})::HUGEINT) // (SELECT sum(u)::HUGEINT FROM u{r}) AS v FROM u{r})""")
+    return f"""WITH {", ".join(parts)},
+x AS MATERIALIZED (SELECT id, CAST(v // 1000 AS BIGINT) AS x FROM v{rounds}),
+c AS (SELECT x, sum(count(*)) OVER (ORDER BY x) AS n1, sum(sum(x)) OVER (ORDER BY x) AS s1 FROM x GROUP BY x),
+t AS (SELECT count(*) AS nn, sum(x) AS ss FROM x),
+cut AS (SELECT x, CAST(s1 AS DOUBLE) * CAST(s1 AS DOUBLE) / CAST(n1 AS DOUBLE)
+          + (CAST(ss AS DOUBLE) - CAST(s1 AS DOUBLE)) * (CAST(ss AS DOUBLE) - CAST(s1 AS DOUBLE)) / (CAST(nn AS DOUBLE) - CAST(n1 AS DOUBLE)) AS between_
+        FROM c, t WHERE n1 < nn),
+best AS (SELECT coalesce((SELECT x FROM cut ORDER BY between_ DESC, x LIMIT 1), (SELECT max(x) FROM x), 0) AS at)
+SELECT d.doc_id AS id, coalesce(CAST(x.x > best.at AS INTEGER), {C.ISOLATED}) AS cluster FROM documents d CROSS JOIN best LEFT JOIN x ON x.id = d.doc_id"""
+
+
+_CLUSTERS = _clusters_sql(C.DEFAULT_MAX_ITER)
+
 QUERIES = {
     "paragraph_parse": paragraph_parse,
     "shingles": shingles,
@@ -181,6 +244,10 @@ QUERIES = {
     "minhash_pairs": minhash_pairs,
     "pic_clusters": pic_clusters,
     "cluster_lines": cluster_lines,
+    "shingle_ids": shingle_ids,
+    "paragraph_vectors": paragraph_vectors,
+    "minhash_signatures": minhash_signatures,
+    "incremental_band_pairs": incremental_band_pairs,
 }
 
 ORACLES = {
@@ -204,5 +271,18 @@ ORACLES = {
     "paragraph_file_roundtrip": """
 SELECT doc_id AS id, CASE WHEN left(text, 1) IN ('"', chr(65533)) THEN substring(text, 2, length(text) - 3) ELSE text END AS para
 FROM documents WHERE length(text) > 0""",
-    # minhash_pairs, pic_clusters, cluster_lines: approximate / iterative -> rows-only check
+    "shingle_ids": f"SELECT shingle, row_number() OVER (ORDER BY shingle) - 1 AS sid FROM (SELECT DISTINCT shingle FROM ({_SETS}))",
+    "paragraph_vectors": f"""
+WITH s AS ({_SETS}), v AS (SELECT shingle, row_number() OVER (ORDER BY shingle) - 1 AS sid FROM (SELECT DISTINCT shingle FROM s))
+SELECT id, CAST(count(*) AS INTEGER) AS size, string_agg(CAST(sid AS VARCHAR), ',' ORDER BY sid) AS sids FROM s JOIN v USING (shingle) GROUP BY id""",
+    "minhash_signatures": f"SELECT id, list_aggregate(hashes, 'string_agg', ',') AS hashes FROM ({_signatures_sql(SIM.NUM_HASH_TABLES)})",
+    "incremental_band_pairs": f"""
+WITH g AS ({_signatures_sql(SIM.NEAR_DUP_BANDS * SIM.NEAR_DUP_ROWS)}),
+b AS (SELECT id, t AS band, hashes[t * {SIM.NEAR_DUP_ROWS} + 1 : (t + 1) * {SIM.NEAR_DUP_ROWS}] AS key FROM g, range({SIM.NEAR_DUP_BANDS}) r(t))
+SELECT DISTINCT o.id AS old, n.id AS new FROM b o JOIN b n ON o.band = n.band AND o.key = n.key WHERE o.id % 2 = 0 AND n.id % 2 <> 0""",
+    "pic_clusters": _CLUSTERS,
+    "cluster_lines": f"""
+SELECT 'Book ' || cluster || '-> ' || string_agg(CAST(id AS VARCHAR), ', ' ORDER BY id) AS value
+FROM ({_CLUSTERS}) GROUP BY cluster, id // {C.IDS_PER_LINE_RANGE}""",
+    # minhash_pairs: recall is approximate -> rows-only check
 }
