@@ -32,7 +32,8 @@ def order(v):
 
 
 @pytest.mark.parametrize("kind", sorted(VALUES))
-def test_every_rank_of_every_type(spark, kind):
+def test_every_rank_of_every_type(spark, kind, monkeypatch):
+    monkeypatch.setattr(S, "FEW", 1)  # to the last digit
     values = VALUES[kind]
     df = spark.createDataFrame([(v,) for v in [*values, None]], f"x {kind}").repartition(5)
     n = len(values)
@@ -59,10 +60,13 @@ def test_hot_groups_narrow_ranges_and_null_groups(spark):
     assert got == want
 
 
-def test_no_window_orders_values(spark):
-    df = spark.range(1000).select((F.col("id") % 7).alias("g"), F.col("id").alias("x"))
-    plan = S.kth_values(df, "x", spark.createDataFrame([(0, 3)], "g long, rank long"), ["g"])._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan  # sums over digits are stored; nothing is left but the last join
+def test_only_few_values_are_put_in_order(spark, monkeypatch):
+    monkeypatch.setattr(S, "FEW", 50)
+    df = spark.range(200_000).select((F.col("id") % 2).alias("g"), (F.col("id") * 3).alias("x"))
+    found = S.kth_values(df, "x", spark.createDataFrame([(0, 70_000), (1, 1)], "g long, rank long"), ["g"])
+    assert sorted(tuple(r) for r in found.collect()) == [(0, 70_000, 419_994), (1, 1, 3)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") >= 1 and all("_g" in line and "_cell" in line for line in plan.splitlines() if "windowspecdefinition" in line)
 
 
 def test_empty_input_and_unknown_types(spark):
