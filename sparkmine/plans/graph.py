@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkmine.operators import graph as G
+from sparkmine.operators.topk_bounds import recommend_topk_bounded
 from sparkmine.plans.inputs import INPUT_SQL, event_edges, events_as_lists
 from sparkmine.sources import text as io
 
@@ -30,6 +31,11 @@ def friend_recommend_topk(spark, sf_dir):
     return G.recommend_topk(G.mutual_friend_counts(event_edges(spark, sf_dir)), K)
 
 
+def friend_recommend_topk_bounded(spark, sf_dir):
+    """The same rows without all two-hop pairs: lists by rising length, users settled by bounds."""
+    return recommend_topk_bounded(event_edges(spark, sf_dir).select("user", "friend"), K)
+
+
 def friend_recommend_list(spark, sf_dir):
     return G.recommend_lists(event_edges(spark, sf_dir), K)
 
@@ -89,6 +95,7 @@ QUERIES = {
     "adjacency_roundtrip": adjacency_roundtrip,
     "mutual_friend_counts": mutual_friend_counts,
     "friend_recommend_topk": friend_recommend_topk,
+    "friend_recommend_topk_bounded": friend_recommend_topk_bounded,
     "friend_recommend_list": friend_recommend_list,
     "friend_recommend_multiset": friend_recommend_multiset,
     "friend_recommend_lines": friend_recommend_lines,
@@ -101,6 +108,7 @@ SELECT "user", CAST(row_number() OVER (PARTITION BY "user" ORDER BY friend) - 1
 """,
     "mutual_friend_counts": _COUNTS,
     "friend_recommend_topk": _TOPK,
+    "friend_recommend_topk_bounded": _TOPK,
     "friend_recommend_list": _lists_sql(_E, multiset=False),
     "friend_recommend_multiset": _lists_sql(_L, multiset=True),
     "friend_recommend_lines": f"SELECT CAST(\"user\" AS VARCHAR) || chr(9) || recs AS value FROM ({_lists_sql(_E, multiset=False)})",
