@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkmine.operators.chunks import CHUNK_ENTRIES, chunked_lists
 from sparkmine.operators.skew import hot_keys, salted_join
 
 DEFAULT_TOP_K = 10
@@ -84,6 +85,17 @@ def mutual_friend_counts(
     return counts.join(direct, ["user", "cand"], "left_anti")
 
 
+def mutual_friend_lists(edges: DataFrame, multiset: bool = False, pairs_per_tile: int | None = None, size: int = CHUNK_ENTRIES) -> DataFrame:
+    """``(user, cand, chunk, mutual)``: the mutual friends of every candidate in id order, at most ``size`` a row.
+
+    The list form of ``mutual_friend_counts``; a candidate with millions of mutual friends has many rows.
+    """
+    direct = edges.select(F.col("user"), F.col("friend").alias("cand")).distinct()
+    pairs = two_hop_pairs(edges, multiset, pairs_per_tile).join(direct, ["user", "cand"], "left_anti")
+    lists = chunked_lists(pairs, ["user", "cand"], ["via"], "mutual", size)
+    return lists.withColumn("mutual", F.col("mutual.via"))
+
+
 def recommend_topk(counts: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
     """Rank candidates by mutual count desc, then id asc; keep the first ``k``.
 

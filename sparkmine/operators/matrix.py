@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmine.operators.chunks import CHUNK_ENTRIES, chunked_lists
 from sparkmine.operators.skew import hot_keys, salted_join
 
 
@@ -43,6 +44,11 @@ def row_vectors(m: DataFrame) -> DataFrame:
     return m.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("j", "v"))).alias("entries"))
 
 
+def row_vector_chunks(m: DataFrame, size: int = CHUNK_ENTRIES) -> DataFrame:
+    """``(i, chunk, entries)``: the row vectors in pieces of at most ``size`` cells, so no task holds a whole row."""
+    return chunked_lists(m, ["i"], ["j", "v"], size=size)
+
+
 def sorted_cells(c: DataFrame) -> DataFrame:
     """Global ``(i, j)`` order: a range-partitioned sort, no single-task step."""
     return c.orderBy("i", "j")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sparkmine.plans import cur, graph, matrix, quantiles, similarity
+from sparkmine.plans import cur, graph, layouts, matrix, quantiles, similarity
 
-_DOMAINS = [graph, matrix, quantiles, similarity, cur]
+_DOMAINS = [graph, matrix, quantiles, similarity, cur, layouts]
 
 
 def queries():

@@ -49,6 +49,21 @@ def friend_recommend_lines(spark, sf_dir):
     return io.through_files(io.format_recommendations(G.recommend_lists(event_edges(spark, sf_dir), K)), "recommendations")
 
 
+LIST_CHUNK = 4
+
+
+def mutual_friend_lists(spark, sf_dir):
+    """Mutual friends of every candidate in rows of at most ``LIST_CHUNK``."""
+    lists = G.mutual_friend_lists(event_edges(spark, sf_dir), size=LIST_CHUNK)
+    return lists.select("user", "cand", "chunk", F.array_join(F.transform("mutual", lambda x: x.cast("string")), ",").alias("mutual"))
+
+
+def friend_recommend_written(spark, sf_dir):
+    """The recommendation lines in files ordered by user, read back with their line numbers."""
+    recs = G.recommend_lists(event_edges(spark, sf_dir), K)
+    return io.through_ordered_files(io.format_recommendations(recs, keep=("user",)), "recommendations", ["user"])
+
+
 _E = INPUT_SQL["event_edges"]
 _L = INPUT_SQL["event_lists"]
 
@@ -99,6 +114,8 @@ QUERIES = {
     "friend_recommend_list": friend_recommend_list,
     "friend_recommend_multiset": friend_recommend_multiset,
     "friend_recommend_lines": friend_recommend_lines,
+    "mutual_friend_lists": mutual_friend_lists,
+    "friend_recommend_written": friend_recommend_written,
 }
 
 ORACLES = {
@@ -112,4 +129,15 @@ SELECT "user", CAST(row_number() OVER (PARTITION BY "user" ORDER BY friend) - 1
     "friend_recommend_list": _lists_sql(_E, multiset=False),
     "friend_recommend_multiset": _lists_sql(_L, multiset=True),
     "friend_recommend_lines": f"SELECT CAST(\"user\" AS VARCHAR) || chr(9) || recs AS value FROM ({_lists_sql(_E, multiset=False)})",
+    "mutual_friend_lists": f"""
+WITH e AS ({_E}),
+s AS (SELECT * FROM e WHERE "user" <> friend),
+pairs AS (SELECT a.friend AS "user", b.friend AS cand, a."user" AS via FROM s a JOIN s b ON a."user" = b."user" AND a.friend <> b.friend),
+p AS (SELECT *, (row_number() OVER (PARTITION BY "user", cand ORDER BY via) - 1) // {LIST_CHUNK} AS chunk FROM pairs p
+      WHERE NOT EXISTS (SELECT 1 FROM e d WHERE d."user" = p."user" AND d.friend = p.cand))
+SELECT "user", cand, CAST(chunk AS BIGINT) AS chunk, string_agg(CAST(via AS VARCHAR), ',' ORDER BY via) AS mutual FROM p GROUP BY "user", cand, chunk
+""",
+    "friend_recommend_written": f"""
+SELECT row_number() OVER (ORDER BY "user") - 1 AS line_no, CAST("user" AS VARCHAR) || chr(9) || recs AS value FROM ({_lists_sql(_E, multiset=False)})
+""",
 }

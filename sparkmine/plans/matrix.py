@@ -42,6 +42,22 @@ def matmul_sorted_lines(spark, sf_dir):
     return io.format_matrix_cells(M.sorted_cells(M.matmul(a, b)))
 
 
+ROW_CHUNK = 16
+
+
+def matrix_row_chunks(spark, sf_dir):
+    """Row vectors in rows of at most ``ROW_CHUNK`` cells."""
+    rv = M.row_vector_chunks(supplier_part(spark, sf_dir), ROW_CHUNK)
+    cells = F.transform("entries", lambda e: F.concat_ws(":", e["j"].cast("string"), e["v"].cast("string")))
+    return rv.select("i", "chunk", F.array_join(cells, ",").alias("entries"))
+
+
+def matmul_written(spark, sf_dir):
+    """The product in files ordered by cell, read back with line numbers."""
+    c = M.matmul(supplier_part(spark, sf_dir), part_linenumber(spark, sf_dir))
+    return io.through_ordered_files(io.format_matrix_cells(c, keep=("i", "j")), "product", ["i", "j"])
+
+
 _A = "SELECT l_suppkey AS i, l_partkey AS j, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS v FROM lineitem GROUP BY 1, 2"
 _B = "SELECT l_partkey AS i, CAST(l_linenumber AS BIGINT) AS j, COUNT(*) AS v FROM lineitem GROUP BY 1, 2"
 _C = f"""
@@ -53,10 +69,19 @@ QUERIES = {
     "matmul_coo": matmul_coo,
     "matrix_row_vectors": matrix_row_vectors,
     "matmul_sorted_lines": matmul_sorted_lines,
+    "matrix_row_chunks": matrix_row_chunks,
+    "matmul_written": matmul_written,
 }
 
 ORACLES = {
     "matmul_coo": _C,
     "matrix_row_vectors": f"SELECT i, string_agg(CAST(j AS VARCHAR) || ':' || CAST(v AS VARCHAR), ',' ORDER BY j) AS entries FROM ({_A}) GROUP BY i",
     "matmul_sorted_lines": f"SELECT CAST(i AS VARCHAR) || ',' || CAST(j AS VARCHAR) || ',' || CAST(v AS VARCHAR) AS value FROM ({_C})",
+    "matrix_row_chunks": f"""
+SELECT i, CAST(chunk AS BIGINT) AS chunk, string_agg(CAST(j AS VARCHAR) || ':' || CAST(v AS VARCHAR), ',' ORDER BY j) AS entries
+FROM (SELECT *, (row_number() OVER (PARTITION BY i ORDER BY j) - 1) // {ROW_CHUNK} AS chunk FROM ({_A})) GROUP BY i, chunk
+""",
+    "matmul_written": f"""
+SELECT row_number() OVER (ORDER BY i, j) - 1 AS line_no, CAST(i AS VARCHAR) || ',' || CAST(j AS VARCHAR) || ',' || CAST(v AS VARCHAR) AS value FROM ({_C})
+""",
 }

@@ -38,6 +38,12 @@ def quartiles_line(spark, sf_dir):
     return io.format_quartile_line(q, ["p25", "p50", "p75"])
 
 
+def quartiles_written(spark, sf_dir):
+    """The quartile line written to a file and read back."""
+    line = quartiles_line(spark, sf_dir)
+    return io.through_ordered_files(line, "quartiles", ["value"])
+
+
 def name_ranks_by_segment(spark, sf_dir):
     """First, middle and last customer name of every market segment, in the order of texts."""
     own = table(spark, sf_dir, "customer").select("c_mktsegment", "c_name")
@@ -101,6 +107,7 @@ QUERIES = {
     "quartiles_by_priority": quartiles_by_priority,
     "quartiles_legacy": quartiles_legacy,
     "quartiles_line": quartiles_line,
+    "quartiles_written": quartiles_written,
     "name_ranks_by_segment": name_ranks_by_segment,
     "decimal_ranks_by_flag": decimal_ranks_by_flag,
     "merged_state_ranks": merged_state_ranks,
@@ -111,6 +118,10 @@ ORACLES = {
     "quartiles_by_flag": _type2_sql("lineitem", "l_quantity", by="l_returnflag"),
     "quartiles_by_priority": _type2_sql("orders", "o_totalprice", by="o_orderpriority"),
     "quartiles_legacy": _type2_sql(_QTY, "value", legacy=True),
+    "quartiles_written": (
+        "SELECT CAST(0 AS BIGINT) AS line_no, CAST(p25 AS VARCHAR) || chr(9) || CAST(p50 AS VARCHAR) || chr(9) || CAST(p75 AS VARCHAR) || chr(9) AS value "
+        f"FROM ({_type2_sql(_QTY, 'value', legacy=True)})"
+    ),
     "quartiles_line": (
         "SELECT CAST(p25 AS VARCHAR) || chr(9) || CAST(p50 AS VARCHAR) || chr(9) || CAST(p75 AS VARCHAR) || chr(9) AS value "
         f"FROM ({_type2_sql(_QTY, 'value', legacy=True)})"

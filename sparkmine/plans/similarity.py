@@ -143,6 +143,20 @@ def cluster_lines(spark, sf_dir):
     return io.format_cluster_lines(C.cluster_member_lists(pic_clusters(spark, sf_dir)))
 
 
+IDS_PER_LINE = 100
+
+
+def cluster_files(spark, sf_dir):
+    """Cluster lines in a folder for each cluster, ordered by member, read back with their line numbers."""
+    chunks = C.cluster_member_chunks(pic_clusters(spark, sf_dir), IDS_PER_LINE)
+    return io.through_ordered_files(io.format_cluster_lines(chunks, keep=("cluster", "chunk")), "clusters", ["chunk"], "cluster")
+
+
+def evidence_written(spark, sf_dir):
+    """Evidence lines in ordered files, a blank line after each pair, read back with line numbers."""
+    return io.through_ordered_files(io.evidence_with_blanks(shared_shingle_evidence(spark, sf_dir)), "evidence", ["idA", "idB", "last", "offA"])
+
+
 # --- oracles -----------------------------------------------------------------------------
 
 _LINES = """SELECT CAST(doc_id AS VARCHAR) || chr(9) || CASE WHEN lang = 'fr' THEN '"' || text || '".' ELSE text END AS value FROM documents"""
@@ -244,6 +258,8 @@ QUERIES = {
     "minhash_pairs": minhash_pairs,
     "pic_clusters": pic_clusters,
     "cluster_lines": cluster_lines,
+    "cluster_files": cluster_files,
+    "evidence_written": evidence_written,
     "shingle_ids": shingle_ids,
     "paragraph_vectors": paragraph_vectors,
     "minhash_signatures": minhash_signatures,
@@ -284,5 +300,16 @@ SELECT DISTINCT o.id AS old, n.id AS new FROM b o JOIN b n ON o.band = n.band AN
     "cluster_lines": f"""
 SELECT 'Book ' || cluster || '-> ' || string_agg(CAST(id AS VARCHAR), ', ' ORDER BY id) AS value
 FROM ({_CLUSTERS}) GROUP BY cluster, id // {C.IDS_PER_LINE_RANGE}""",
+    "cluster_files": f"""
+WITH c AS (SELECT cluster, id, (row_number() OVER (PARTITION BY cluster ORDER BY id) - 1) // {IDS_PER_LINE} AS line_no FROM ({_CLUSTERS}))
+SELECT cluster, CAST(line_no AS BIGINT) AS line_no, 'Book ' || cluster || '-> ' || string_agg(CAST(id AS VARCHAR), ', ' ORDER BY id) AS value
+FROM c GROUP BY cluster, line_no""",
+    "evidence_written": f"""
+WITH ev AS ({_EVIDENCE}),
+l AS (SELECT idA, idB, 0 AS last, offA, '<' || idA || ' - ' || idB || '> ' ||
+        replace(replace(replace(replace(shingle, chr(92), chr(92) || 's'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')
+        || ' <' || offA || ' - ' || offB || '> ' AS value FROM ev
+      UNION ALL SELECT DISTINCT idA, idB, 1, NULL, '' FROM ev)
+SELECT row_number() OVER (ORDER BY idA, idB, last, offA) - 1 AS line_no, value FROM l""",
     # minhash_pairs: recall is approximate -> rows-only check
 }
