@@ -22,8 +22,8 @@ _MATRIX = """CASE l_linenumber
   WHEN 2 THEN concat('C,', l_suppkey, ',', l_partkey, ',1')
   WHEN 3 THEN concat('A,', l_suppkey, ',', l_partkey)
   WHEN 4 THEN concat('A,', l_returnflag, ',', l_partkey, ',1')
-  WHEN 5 THEN concat('B,', l_suppkey, ',', l_partkey, ',', l_shipmode)
-  WHEN 6 THEN l_shipmode
+  WHEN 5 THEN concat('B,', l_suppkey, ',', l_partkey, ',', l_linestatus)
+  WHEN 6 THEN l_linestatus
   ELSE concat('B,', l_suppkey, ',', l_partkey, ',', l_linenumber) END"""
 _NUMBER = "CASE o_orderstatus WHEN 'F' THEN CAST(o_custkey AS STRING) WHEN 'P' THEN '' ELSE o_orderpriority END"
 _PARAGRAPH = """CASE doc_id % 7
@@ -67,7 +67,7 @@ n AS (SELECT {_NUMBER} AS line FROM orders),
 p AS (SELECT string_split({_PARAGRAPH}, chr(9)) AS f, {_PARAGRAPH} AS line FROM documents),
 o AS (
   SELECT 'adjacency' AS layout, CASE WHEN len(f) <> 2 THEN 'fields' WHEN NOT regexp_matches(f[1], {_WHOLE}) THEN 'user'
-    WHEN len(list_filter(string_split(f[2], ','), x -> x <> '' AND NOT regexp_matches(x, {_WHOLE}))) > 0 THEN 'friend' ELSE 'row' END AS outcome
+    WHEN len(list_filter(string_split(f[2], ','), lambda x: x <> '' AND NOT regexp_matches(x, {_WHOLE}))) > 0 THEN 'friend' ELSE 'row' END AS outcome
   FROM a WHERE line <> ''
   UNION ALL
   SELECT 'matrix', CASE WHEN f[1] NOT IN ('A', 'B') THEN 'tag' WHEN len(f) <> 4 THEN 'fields'
