@@ -4,12 +4,11 @@
 with rows/columns drawn with replacement, probability proportional to their
 energy (sum of squares). Everything that grows with A runs as Spark jobs:
 energies are grouped sums, the inverse-CDF draw is a bucketed range join,
-C and R are joins with the (bounded) sample list, and the Gram matrices
-``C^T C`` (c x c), ``R R^T`` (r x r) and the link ``C^T A R^T`` (c x r) are
-join + aggregate products. Only those sample-sized matrices reach the driver,
-where numpy forms the rank-k pseudo-inverses:
-  U = (C^T C)+ (C^T A R^T) (R R^T)+
-and the error  ||A - CUR||^2 = ||A||^2 - 2 tr(U^T C^T A R^T) + tr(U^T (C^T C) U (R R^T)).
+C and R are joins with the sample list, and both get an orthonormal basis by a tree of
+local QR factors (``tall_qr``): C = Qc Bc and R^T = Qr Br. A, the samples, C and R are stored once. Only the sample-sized
+Bc, Br and M = Qc^T A Qr reach the driver, where numpy forms the rank-k pseudo-inverses:
+  U = Bc+ M (Br+)^T
+and the error  ||A - CUR||^2 = ||A||^2 - ||Bc U Br^T||^2, as CUR is a projection of A.
 
 Energies are summed in fixed point (``ENERGY_UNITS`` for the largest v^2) as
 decimals, so cumulative sums are exact, do not depend on partitioning and can
@@ -27,12 +26,12 @@ from pyspark.sql import types as T
 
 from sparkmine.operators.matrix import matmul
 from sparkmine.operators.ranks import prefix_sums
+from sparkmine.operators.tall_qr import orthonormal_basis, small_pinv
+from sparkmine.session import materialize
 
 ENERGY_UNITS = 1_000_000_000_000_000
-# Sample sizes are bounded: the c x c, r x r and c x r matrices go to the driver.
+# Sample sizes are bounded: the c x c and r x r factors and the c x r product go to the driver.
 MAX_SAMPLES = 2_000
-# Relative eigenvalue cut-off of the Gram pseudo-inverse (Gram squares the condition number).
-GRAM_RCOND = 1e-10
 # Fixed draws for reproducible samples: u_d = frac(d * GOLDEN), d = 1..s.
 GOLDEN = 0.6180339887
 
@@ -104,13 +103,14 @@ def sample_indices(a: DataFrame, axis: str, draws: DataFrame) -> DataFrame:
 
 def select_columns(a: DataFrame, cols: DataFrame) -> DataFrame:
     """``C (i, p, v)``: column ``cols.idx`` of A as column ``cols.pos`` (scale sqrt(1) = 1)."""
-    s = F.broadcast(cols.select(F.col("idx").alias("j"), F.col("pos").cast("bigint").alias("p")))
+    # stored, so that its size is known and Spark broadcasts it only if it is small
+    s = materialize(cols.select(F.col("idx").alias("j"), F.col("pos").cast("bigint").alias("p")), "sample")
     return a.where(F.col("v") != 0).join(s, "j").select("i", F.col("p").alias("j"), "v")
 
 
 def select_rows(a: DataFrame, rows: DataFrame) -> DataFrame:
     """``R (p, j, v)``: row ``rows.idx`` of A as row ``rows.pos``."""
-    s = F.broadcast(rows.select(F.col("idx").alias("i"), F.col("pos").cast("bigint").alias("p")))
+    s = materialize(rows.select(F.col("idx").alias("i"), F.col("pos").cast("bigint").alias("p")), "sample")
     return a.where(F.col("v") != 0).join(s, "i").select(F.col("p").alias("i"), "j", "v")
 
 
@@ -125,16 +125,9 @@ def _dense(cells: DataFrame, n: int, m: int) -> np.ndarray:
     return out
 
 
-def _gram_pinv(g: np.ndarray, k: int) -> np.ndarray:
-    w, v = np.linalg.eigh((g + g.T) / 2)
-    order = np.argsort(w)[::-1]
-    w, v = w[order], v[:, order]
-    keep = w > GRAM_RCOND * max(w[0], 0.0) if w.size else np.zeros(0, bool)
-    if k is not None and k > 0:
-        keep[k:] = False
-    inv = np.zeros_like(w)
-    inv[keep] = 1.0 / w[keep]
-    return (v * inv) @ v.T
+def sampled_products(a: DataFrame, c: DataFrame, r: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``C^T C``, ``R R^T`` and ``C^T A R^T`` as cell tables."""
+    return matmul(transpose(c), c), matmul(r, transpose(r)), matmul(matmul(transpose(c), a), transpose(r))
 
 
 def cur(a: DataFrame, rrank: int, crank: int, k: int = -1, draws_rows: DataFrame | None = None,
@@ -143,18 +136,21 @@ def cur(a: DataFrame, rrank: int, crank: int, k: int = -1, draws_rows: DataFrame
     if not (0 < rrank <= MAX_SAMPLES and 0 < crank <= MAX_SAMPLES):
         raise ValueError(f"rrank and crank must be in 1..{MAX_SAMPLES}")
     spark = a.sparkSession
-    a = a.groupBy("i", "j").agg(F.sum("v").alias("v")).where(F.col("v") != 0)
-    rows = sample_indices(a, "i", draws_rows if draws_rows is not None else random_draws(spark, rrank, seed))
-    cols = sample_indices(a, "j", draws_cols if draws_cols is not None else random_draws(spark, crank, seed + 1))
-    c, r = select_columns(a, cols), select_rows(a, rows)
-    ctc = matmul(transpose(c), c)
-    rrt = matmul(r, transpose(r))
-    link = matmul(matmul(transpose(c), a), transpose(r))
-    n_c, n_r = crank, rrank
-    g_c, g_r, m = _dense(ctc, n_c, n_c), _dense(rrt, n_r, n_r), _dense(link, n_c, n_r)
-    u = _gram_pinv(g_c, k) @ m @ _gram_pinv(g_r, k)
+    a = materialize(a.groupBy("i", "j").agg(F.sum("v").alias("v")).where(F.col("v") != 0), "matrix")
+    rows = materialize(sample_indices(a, "i", draws_rows if draws_rows is not None else random_draws(spark, rrank, seed)), "sample")
+    cols = materialize(sample_indices(a, "j", draws_cols if draws_cols is not None else random_draws(spark, crank, seed + 1)), "sample")
+    c, r = materialize(select_columns(a, cols), "columns"), materialize(select_rows(a, rows), "rows")
+    left, right = orthonormal_basis(c, crank), orthonormal_basis(transpose(r), rrank)
+    n_c, n_r = len(left.fix), len(right.fix)
+    # rows of both bases are distinct cells; what their factors correct is taken out of the small product
+    met = matmul(matmul(transpose(left.rows), a, sum_duplicates=False), right.rows, sum_duplicates=False)
+    m = _dense(met, n_c, n_r)
+    m = np.linalg.solve(left.fix.T, m) if n_c else m
+    m = np.linalg.solve(right.fix.T, m.T).T if n_r else m
+    pc, pr = small_pinv(left.coords, k), small_pinv(right.coords, k)
+    u = pc @ m @ pr.T
     norm2 = float(a.agg(F.sum(F.col("v") * F.col("v"))).first()[0] or 0.0)
-    err2 = norm2 - 2.0 * float(np.sum(u * m)) + float(np.trace(u.T @ g_c @ u @ g_r))
+    err2 = norm2 - float(np.sum((left.coords @ u @ right.coords.T) ** 2))
     schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("j", T.LongType()), T.StructField("v", T.DoubleType())])
-    u_df = spark.createDataFrame([(int(x), int(y), float(u[x, y])) for x in range(n_c) for y in range(n_r)], schema)
+    u_df = spark.createDataFrame([(int(x), int(y), float(u[x, y])) for x in range(crank) for y in range(rrank)], schema)
     return {"C": c, "R": r, "U": u_df, "rows": rows, "cols": cols, "error": math.sqrt(max(err2, 0.0)), "norm": math.sqrt(norm2)}

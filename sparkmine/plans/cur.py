@@ -55,6 +55,28 @@ def cur_error(spark, sf_dir):
     return spark.createDataFrame([(f["norm"], f["error"])], "norm double, error double")
 
 
+DIGITS = 6
+
+
+def _product(spark, sf_dir, which):
+    a = embedding_matrix(spark, sf_dir)
+    c = CUR.select_columns(a, CUR.sample_indices(a, "j", CUR.fixed_draws(spark, CRANK)))
+    r = CUR.select_rows(a, CUR.sample_indices(a, "i", CUR.fixed_draws(spark, RRANK)))
+    return CUR.sampled_products(a, c, r)[which].select("i", "j", F.round("v", DIGITS).alias("v"))
+
+
+def cur_ctc(spark, sf_dir):
+    return _product(spark, sf_dir, 0)
+
+
+def cur_rrt(spark, sf_dir):
+    return _product(spark, sf_dir, 1)
+
+
+def cur_link(spark, sf_dir):
+    return _product(spark, sf_dir, 2)
+
+
 _A = """SELECT vec_id AS i, CAST(j - 1 AS BIGINT) AS j, CAST(embedding[j] AS DOUBLE) AS v
 FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS j FROM embeddings)"""
 
@@ -90,9 +112,22 @@ QUERIES = {
     "cur_r": cur_r,
     "cur_u": cur_u,
     "cur_error": cur_error,
+    "cur_ctc": cur_ctc,
+    "cur_rrt": cur_rrt,
+    "cur_link": cur_link,
 }
 
+_C = f"""SELECT a.i AS i, CAST(s.pos AS BIGINT) AS j, a.v AS v FROM ({_A}) a JOIN ({_sample_sql('j', CRANK)}) s ON a.j = s.idx WHERE a.v <> 0"""
+_R = f"""SELECT CAST(s.pos AS BIGINT) AS i, a.j AS j, a.v AS v FROM ({_A}) a JOIN ({_sample_sql('i', RRANK)}) s ON a.i = s.idx WHERE a.v <> 0"""
+
 ORACLES = {
+    "cur_ctc": f"WITH c AS ({_C}) SELECT x.j AS i, y.j AS j, round(SUM(x.v * y.v), {DIGITS}) AS v FROM c x JOIN c y ON x.i = y.i GROUP BY 1, 2",
+    "cur_rrt": f"WITH r AS ({_R}) SELECT x.i AS i, y.i AS j, round(SUM(x.v * y.v), {DIGITS}) AS v FROM r x JOIN r y ON x.j = y.j GROUP BY 1, 2",
+    "cur_link": f"""
+WITH a AS ({_A}), c AS ({_C}), r AS ({_R}),
+ca AS (SELECT c.j AS i, a.j AS j, SUM(c.v * a.v) AS v FROM c JOIN a ON c.i = a.i GROUP BY 1, 2)
+SELECT ca.i AS i, r.i AS j, round(SUM(ca.v * r.v), {DIGITS}) AS v FROM ca JOIN r ON ca.j = r.j GROUP BY 1, 2
+""",
     "cur_row_probs": _probs_sql("i"),
     "cur_col_probs": _probs_sql("j"),
     "cur_sample_rows": _sample_sql("i", RRANK),
@@ -105,5 +140,5 @@ SELECT a.i AS i, CAST(s.pos AS BIGINT) AS j, a.v AS v FROM a JOIN s ON a.j = s.i
 WITH a AS ({_A}), s AS ({_sample_sql('i', RRANK)})
 SELECT CAST(s.pos AS BIGINT) AS i, a.j AS j, a.v AS v FROM a JOIN s ON a.i = s.idx WHERE a.v <> 0
 """,
-    # cur_u, cur_error: driver-side pseudo-inverse of sample-sized Gram matrices -> rows-only
+    # cur_u, cur_error: driver-side pseudo-inverse of sample-sized factors -> rows-only
 }
