@@ -8,7 +8,8 @@ bin, which is then taken out as often as its lengths allow.
 
 The programme runs over the histogram of lengths, at most ``capacity`` numbers, so its input
 does not grow with the corpus; pieces meet their places by their rank among the pieces
-of their length. Ranks come from windows over (length, salt) and a prefix sum of the counts.
+of their length. Ranks come from windows over (length, salt) and a prefix sum of the counts; the number of
+salts of a length grows with its count, so the full pieces of a large corpus are no fixed number of tasks.
 
 Defined results: null text is the empty text, a piece of one end id; ties of length go by id
 hash, id and piece; rows that repeat an id are packed as documents of their own; an empty
@@ -31,7 +32,9 @@ from pyspark.sql import functions as F
 
 from sparkmine.llm.common import local_table, saved
 
-CAPACITY, END_ID, SALTS = 1024, 2, 64
+CAPACITY, END_ID = 1024, 2
+# Pieces of one length that one salt holds on average; a length has as many salts as its count asks for.
+PIECES_PER_SALT = 16_384
 
 
 class Unclear(Exception):
@@ -197,12 +200,14 @@ def places(plan: list[tuple[dict[int, int], int]]) -> pd.DataFrame:
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Every row of ``pieces`` with its sequence_id and offset. ``cut`` should be a stored table."""
     spark = cut.sparkSession
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc", "piece"), F.lit(SALTS)).cast("int"))
-    counted = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values(["length", "salt"])  # at most capacity x SALTS rows
-    histogram = {int(n): int(c) for n, c in counted.groupby("length")["n"].sum().items()}
-    counted["before"] = counted.groupby("length")["n"].cumsum() - counted["n"]
+    histogram = {int(r["length"]): r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most capacity rows
     table = places(bins(histogram, capacity))
-    before = local_table(spark, {n: pa.array(counted[n], t) for n, t in (("length", pa.int64()), ("salt", pa.int32()), ("before", pa.int64()))})
+    kinds = sorted(histogram)
+    salts = local_table(spark, {"length": pa.array(kinds, pa.int64()), "salts": pa.array([-(-histogram[n] // PIECES_PER_SALT) for n in kinds], pa.int64())})
+    salted = cut.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc", "piece"), F.col("salts"))).drop("salts")
+    counted = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)  # a row for each salt
+    before = counted.select("length", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     by_length = {int(n): g for n, g in table.groupby("length")}
 
     rank = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc", "piece", "start", "ids_crc32")) - 1
