@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from sparkmine.llm.common import local_table, saved
 
 CAPACITY, END_ID = 1024, 2
-# Pieces of one length that one salt holds on average; a length has as many salts as its count asks for.
-PIECES_PER_SALT = 16_384
+# Pieces of one length that one salt holds on average at most; a length has as many salts as its count asks for, and at least these.
+PIECES_PER_SALT, LEAST_SALTS = 16_384, 64
 
 
 class Unclear(Exception):
@@ -203,7 +203,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     histogram = {int(r["length"]): r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most capacity rows
     table = places(bins(histogram, capacity))
     kinds = sorted(histogram)
-    salts = local_table(spark, {"length": pa.array(kinds, pa.int64()), "salts": pa.array([-(-histogram[n] // PIECES_PER_SALT) for n in kinds], pa.int64())})
+    salts = local_table(spark, {"length": pa.array(kinds, pa.int64()), "salts": pa.array([max(LEAST_SALTS, -(-histogram[n] // PIECES_PER_SALT)) for n in kinds], pa.int64())})
     salted = cut.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc", "piece"), F.col("salts"))).drop("salts")
     counted = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)  # a row for each salt
