@@ -10,9 +10,15 @@ the buckets; the stored ones are read where they lie.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from hashlib import md5
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkmine.operators.shingles import long_enough
+from sparkmine.operators.windows import pieces, shingle_strings, text_lengths
 from sparkmine.session import ensure_checkpoint_dir, keep_until_release
 
 PRIME = (1 << 31) - 1  # so a product with a 32-bit number stays below 2**63
@@ -29,18 +35,68 @@ def coefficients(tables: int, seed: int = 17) -> list[tuple[int, int]]:
     return out
 
 
-def shingle_number(shingle: Column) -> Column:
-    return F.conv(F.substring(F.md5(shingle.cast("binary")), 1, 8), 16, 10).cast("bigint")
+NUMBERED = 200_000  # shingles whose numbers a task keeps
 
 
-def signatures(sets: DataFrame, tables: int, seed: int = 17) -> DataFrame:
-    """``(id, hashes array<long>)`` from ``(id, shingles)``; computed row by row, nothing moves."""
-    own = sets.select("id", F.transform("shingles", shingle_number).alias("_x"))
+def _numbers(shingles: pa.Array, known: dict) -> np.ndarray:
+    """The first 32 bits of the MD5 hash of each different shingle; ``known`` keeps those of shingles met before."""
+    texts = shingles.to_pylist()
+    if len(known) > NUMBERED:
+        known.clear()
+    for t in texts:
+        if t not in known:
+            known[t] = int.from_bytes(md5(t.encode(), usedforsecurity=False).digest()[:4], "big")
+    return np.array([known[t] for t in texts], np.int64)
+
 
-    def least(a: int, b: int) -> Column:
-        return F.array_min(F.transform("_x", lambda x: ((x + 1) * F.lit(a) + F.lit(b)) % F.lit(PRIME)))
+def _least(shingles: pa.Array, cuts: np.ndarray, coeffs: list[tuple[int, int]], known: dict) -> pa.ListArray:
+    """The signature of each set of ``shingles`` (none empty), cut at ``cuts``; a shingle of many sets is hashed once."""
+    coded = shingles.dictionary_encode()
+    x, at = _numbers(coded.dictionary, known) + 1, coded.indices.to_numpy()
+    out = np.empty((len(cuts) - 1, len(coeffs)), np.int64)
+    for t, (a, b) in enumerate(coeffs):
+        out[:, t] = np.minimum.reduceat(((x * a + b) % PRIME)[at], cuts[:-1])
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1) * len(coeffs), pa.int32()), pa.array(out.ravel()))
 
-    return own.select("id", F.array(*(least(a, b) for a, b in coefficients(tables, seed))).alias("hashes"))
+
+def signatures(sets: DataFrame, tables: int, seed: int = 17) -> DataFrame:
+    """``(id, hashes array<long>)`` from ``(id, shingles)``; computed batch by batch, nothing moves. A set without a shingle has no values (null)."""
+    coeffs = coefficients(tables, seed)
+
+    def sign(batches):
+        known = {}
+        for b in batches:
+            lists = b.column("shingles")
+            for lo, hi in pieces(lists.value_lengths().to_numpy(zero_copy_only=False)):
+                own, ids = lists.slice(lo, hi - lo), b.column("id").slice(lo, hi - lo)
+                sizes = own.value_lengths().to_numpy(zero_copy_only=False)
+                full = np.flatnonzero(sizes > 0)
+                if len(full):
+                    cuts = np.concatenate([[0], np.cumsum(sizes[full])])
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(full)), _least(own.flatten(), cuts, coeffs, known)], ("id", "hashes"))
+                if len(full) < len(own):
+                    bare = np.flatnonzero(sizes <= 0)
+                    nothing = pa.array([[None] * tables] * len(bare), pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(bare)), nothing], ("id", "hashes"))
+
+    own = sets.select("id", F.coalesce("shingles", F.array().cast("array<string>")).alias("shingles"))
+    return own.mapInArrow(sign, f"id {dict(sets.dtypes)['id']}, hashes array<long>")
+
+
+def text_signatures(docs: DataFrame, tables: int, seed: int = 17) -> DataFrame:
+    """``signatures`` of the shingles of texts ``(id, para)`` that have one, straight from the texts."""
+    coeffs = coefficients(tables, seed)
+
+    def sign(batches):
+        known = {}
+        for b in batches:
+            for lo, hi in pieces(text_lengths(b.column("_t"))):
+                counts, shingles = shingle_strings(b.column("_t").slice(lo, hi - lo))
+                cuts = np.concatenate([[0], np.cumsum(counts)])
+                yield pa.RecordBatch.from_arrays([b.column("id").slice(lo, hi - lo), _least(shingles, cuts, coeffs, known)], ("id", "hashes"))
+
+    own = long_enough(docs)
+    return own.mapInArrow(sign, f"id {dict(own.dtypes)['id']}, hashes array<long>")
 
 
 def bands(sigs: DataFrame, rows: int) -> DataFrame:
@@ -51,7 +107,7 @@ def bands(sigs: DataFrame, rows: int) -> DataFrame:
 
 
 class BandIndex:
-    """Bands of all sets so far, in one bucketed table for each batch, with files in ``folder`` (a shared one, to be kept; else the session's)."""
+    """Bands of all sets ``(id, shingles)`` or texts ``(id, para)`` so far, in one bucketed table for each batch, with files in ``folder`` (a shared one, to be kept; else the session's)."""
 
     def __init__(self, spark: SparkSession, name: str, tables: int, rows: int, seed: int = 17, buckets: int = BUCKETS, folder: str | None = None):
         self.spark, self.name, self.folder = spark, name, folder and folder.rstrip("/")
@@ -59,7 +115,8 @@ class BandIndex:
         self.batches = 0
 
     def banded(self, sets: DataFrame) -> DataFrame:
-        return bands(signatures(sets, self.tables, self.seed), self.rows)
+        own = signatures if "shingles" in sets.columns else text_signatures
+        return bands(own(sets, self.tables, self.seed), self.rows)
 
     def add(self, sets: DataFrame) -> None:
         """Store a batch; batches before it are not read."""
