@@ -3,8 +3,8 @@
 A text is first normalised: at each place the longest prefix that the model's compiled character map
 knows is replaced, any other sign is kept, blanks are handled as the model says. Every byte of the
 normalised text remembers the byte of the original at which its prefix began. The normalised text
-is then cut before blanks, wherever no piece of the model reaches across one, and each part is
-merged pair by pair, best score first. Signs without a piece become byte pieces. Lengths of the pieces,
+is then cut before blanks, wherever no piece of the model reaches across one, and around ASCII signs
+that no longer piece holds (a line's end); each different part of a batch is merged pair by pair, best score first. Signs without a piece become byte pieces. Lengths of the pieces,
 read through the remembered places, are spans of original bytes.
 
 The character map is a double-array trie followed by its replacements; it is walked as stored in the
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
-REMEMBERED = 100_000  # parts of a generation; a task keeps two
+REMEMBERED = 200_000  # parts of a generation; a task keeps two
 SHORT = 32  # signs of a part up to which it is merged together with others
 ROWS = 2_000  # parts that are merged together
 SIGNS_AT_ONCE = 500_000  # signs of the texts that are encoded together (one text more may follow)
@@ -221,7 +221,7 @@ def original_places(model: Model, text: str, of: Normalised) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts with one model; ``parts`` and ``spans`` remember the pieces of the last parts.
+    """Encodes texts with one model; ``parts`` remembers the pieces of the last parts.
 
     Parts of up to ``SHORT`` signs that are not remembered are merged together: a matrix has the signs of a part in a
     row, and each round joins the best pair of every row. A sign that is no piece is the number of pieces plus its code point.
@@ -233,12 +233,18 @@ class Encoder:
         self.ids = usable
         self.scores = {n: model.scores[i] for n, i in usable.items()}
         self.bytes = {int(n[3:5], 16): i for i, (n, k) in enumerate(zip(model.names, model.kinds, strict=True)) if k == BYTE}
-        self.sizes = [len(n.encode()) for n in model.names]
+        sizes = np.array([len(n.encode()) for n in model.names], np.int64)
+        self.lead = np.zeros(len(sizes), np.int8)  # bytes of the sign that a byte piece begins, if more than one
+        for b, i in self.bytes.items():
+            sizes[i], self.lead[i] = b < 0x80, 0 if b < 0xC0 else 2 if b < 0xE0 else 3 if b < 0xF0 else 4
+        self.sizes = sizes  # bytes that a piece spans; the last of a sign's byte pieces spans all of it
         across = any(BLANK in n.lstrip(BLANK) for n in usable)
-        # a part: blanks and what follows them up to the next blank; all at once if a piece reaches across
-        self.part = re.compile("(?s).+" if across or not model.escape else f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+").findall
+        # a part: blanks and what follows them up to the next blank or sign of its own; all at once if a piece reaches across
+        self.whole = across or not model.escape
+        self.lone = np.zeros(256, bool)
+        self.lone[:128] = True
+        self.lone[[ord(c) for n in usable if len(n) > 1 for c in n if c < "\x80"]] = False
         self.forget()
-        self.size = np.array(self.sizes, np.int32)
         self.sign = np.arange(0x110000, dtype=np.int32) + len(model.names)
         for n, i in usable.items():
             if len(n) == 1:
@@ -322,35 +328,29 @@ class Encoder:
             out[rows] = signs
         return out
 
-    def _told(self, numbers: list[int]) -> tuple[bytes, bytes]:
-        """Ids of the pieces and how many bytes each spans (all but a sign's last byte piece: none), as 32-bit numbers."""
-        ids, spans, n = [], [], len(self.sizes)
-        for i in numbers:
-            if i < n:
-                ids.append(i)
-                spans.append(self.sizes[i])
-            else:
-                data = chr(i - n).encode()
-                ids.extend(self.bytes[b] for b in data)
-                spans.extend([*[0] * (len(data) - 1), len(data)])
-        return np.array(ids, np.int32).tobytes(), np.array(spans, np.int32).tobytes()
+    def _told(self, numbers: list[int]) -> bytes:
+        """Ids of the pieces as 32-bit numbers; a sign without a piece has one for each of its bytes."""
+        n = len(self.sizes)
+        return np.array([i for x in numbers for i in ((x,) if x < n else map(self.bytes.__getitem__, chr(x - n).encode()))], np.int32).tobytes()
 
     def forget(self) -> None:
         # 32-bit numbers as bytes, since lists by the hundred thousand would slow the garbage collector; and the generation before
         self.parts: dict[str, bytes] = {}
-        self.spans: dict[str, bytes] = {}
-        self.old = ({}, {})
+        self.old: dict[str, bytes] = {}
 
-    def remember(self, parts: set[str]) -> None:
-        """Put the pieces of all these parts into ``parts`` and ``spans``; when those are full, they become the old ones."""
+    def remember(self, parts: list[str]) -> None:
+        """Put the pieces of all these different parts into ``parts``; when that is full, it becomes the old one."""
         if len(self.parts) + len(parts) > REMEMBERED:
-            self.old = self.parts, self.spans
-            self.parts, self.spans = {}, {}
-        new = parts.difference(self.parts)
-        again = new.intersection(self.old[0])
-        self.parts.update(zip(again, map(self.old[0].__getitem__, again)))
-        self.spans.update(zip(again, map(self.old[1].__getitem__, again)))
-        new = sorted(new - again, key=len)
+            self.old, self.parts = self.parts, {}
+        known, new = self.parts, []
+        for p in parts:
+            if p not in known:
+                again = self.old.get(p)
+                if again is None:
+                    new.append(p)
+                else:
+                    known[p] = again
+        new.sort(key=len)
         short = bisect.bisect_right(new, SHORT, key=len)
         for at in range(0, short, ROWS):  # of nearly equal lengths
             rows = new[at : min(at + ROWS, short)]
@@ -360,30 +360,56 @@ class Encoder:
             signs[np.arange(signs.shape[1])[None, :] < sizes[:, None]] = numbers
             found = self.merged_rows(signs)
             width = 4 * found.shape[1]
-            ids, spans = found.astype(np.int32).tobytes(), self.size[np.minimum(found, len(self.sizes) - 1)].tobytes()
+            ids = found.astype(np.int32).tobytes()
             starts = np.arange(0, width * len(rows), width)
             cuts = zip(starts.tolist(), (starts + 4 * (found >= 0).sum(axis=1)).tolist(), strict=True)
-            for p, (x, y) in zip(rows, cuts, strict=True):
-                self.parts[p] = ids[x:y]
-                self.spans[p] = spans[x:y]
+            known.update(zip(rows, [ids[x:y] for x, y in cuts], strict=True))
             for r in np.flatnonzero(found.max(axis=1) >= len(self.sizes)).tolist():
-                self.parts[rows[r]], self.spans[rows[r]] = self._told([i for i in found[r].tolist() if i >= 0])
+                known[rows[r]] = self._told([i for i in found[r].tolist() if i >= 0])
         for p in new[short:]:
-            self.parts[p], self.spans[p] = self._told([i for x in self.merged(p) if (i := self._number(x)) is not None])
+            known[p] = self._told([i for x in self.merged(p) if (i := self._number(x)) is not None])
+
+    def _cuts(self, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Where the parts of normalised texts, laid end to end, begin, and the end; ``begins`` are the texts' own."""
+        cut = np.zeros(len(data) + 1, bool)
+        cut[begins] = cut[-1] = True
+        if not self.whole:
+            a, b, c = BLANK.encode()
+            blank = np.zeros(len(data) + 1, bool)
+            blank[:-3] = (data[:-2] == a) & (data[1:-1] == b) & (data[2:] == c)
+            cut |= blank & ~np.concatenate([np.zeros(3, bool), blank[:-3]])
+            lone = self.lone[data]
+            cut[:-1] |= lone
+            cut[1:] |= lone
+        return np.flatnonzero(cut)
 
     def encode_all(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
         """For each text the ids of its pieces and the original bytes at which each begins and ends."""
         norms = [normalise(self.model, t) for t in texts]
-        parts = [self.part(n.text) for n in norms]
-        self.remember(set().union(*parts))
-        ids_of, spans_of, ids, starts, ends = self.parts.__getitem__, self.spans.__getitem__, [], [], []
-        for t, norm, own in zip(texts, norms, parts, strict=True):
-            ids.append(np.frombuffer(b"".join(map(ids_of, own)), np.int32))
-            size = np.frombuffer(b"".join(map(spans_of, own)), np.int32)
-            end = np.cumsum(size, dtype=np.int64)
+        own = [n.text.encode() for n in norms]
+        data = b"".join(own)
+        begins = np.concatenate([[0], np.cumsum([len(t) for t in own])]).astype(np.int64)
+        cuts = self._cuts(np.frombuffer(data, np.uint8), begins) if data else np.zeros(1, np.int64)
+        parts = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data)).dictionary_encode()
+        every = parts.dictionary.to_pylist()
+        self.remember(every)
+        told = list(map(self.parts.__getitem__, every))
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in told])]).astype(np.int64)
+        flat, at = _taken(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(told), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(told))]), parts.indices)
+        found = np.frombuffer(flat, np.int32)
+        size = self.sizes[found]
+        leads = np.flatnonzero(self.lead[found])
+        width = self.lead[found[leads]].astype(np.int64)
+        size[leads + width - 1] = width
+        end = np.cumsum(size)
+        ids, starts, ends = [], [], []
+        of = at[np.searchsorted(cuts, begins)] // 4
+        for t, norm, base, lo, hi in zip(texts, norms, begins.tolist(), of.tolist(), of[1:].tolist(), strict=False):
+            ids.append(found[lo:hi])
+            last = end[lo:hi] - base
             places = original_places(self.model, t, norm)
-            starts.append(places[end - size])
-            ends.append(places[end])
+            starts.append(places[last - size[lo:hi]])
+            ends.append(places[last])
         return ids, starts, ends
 
     def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
@@ -402,20 +428,39 @@ class Decoder:
         ]
         self.is_byte = [k == BYTE for k in model.kinds]
         self.marks = {i for i, k in enumerate(model.kinds) if k == CONTROL}
+        self.mark = np.array([k == CONTROL for k in model.kinds], np.int64)
+        self.shown = pa.array(self.surface, pa.large_binary())
 
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``: marks are left out, the dummy blank goes, bytes that are no text become U+FFFD."""
         first = next((i for i in ids if i not in self.marks), None)
         data = b"".join(map(self.surface.__getitem__, ids))
-        blank = first is not None and not self.is_byte[first] and self.model.names[first].startswith(BLANK)
-        if self.model.suffix:
-            blank = False
         try:
             text = data.decode()
             if not self.marks.isdisjoint(ids[:-1]):  # bytes on both sides of a mark are no sign
                 text = self._mended(ids)
         except UnicodeDecodeError:
             text = self._mended(ids)
+        return self._bare(text, first)
+
+    def decode_all(self, ids: np.ndarray, cuts: np.ndarray) -> list[str]:
+        """``decode`` of ``ids[cuts[k] : cuts[k + 1]]`` for each k, in one pass over them."""
+        data, at = _taken(self.shown, pa.array(ids))
+        at, marks = at[cuts].tolist(), np.concatenate([[0], np.cumsum(self.mark[ids])])
+        out = []
+        for lo, hi, a, z in zip(cuts.tolist(), cuts[1:].tolist(), at, at[1:], strict=False):
+            text = None
+            if hi - lo > 1 and marks[lo] == marks[hi - 1]:  # marks are at the end only, if anywhere
+                try:
+                    text = self._bare(str(data[a:z], "utf-8"), int(ids[lo]))
+                except UnicodeDecodeError:
+                    pass
+            out.append(self.decode(ids[lo:hi].tolist()) if text is None else text)
+        return out
+
+    def _bare(self, text: str, first: int | None) -> str:
+        """``text`` without the dummy blank, ``first`` being its first piece."""
+        blank = not self.model.suffix and first is not None and not self.is_byte[first] and self.model.names[first].startswith(BLANK)
         if blank and self.model.squeeze:
             return text.lstrip(" ")
         return text[1:] if blank and self.model.dummy_prefix else text
@@ -442,6 +487,13 @@ def _one_sign(data: bytes) -> bool:
         return False
 
 
+def _taken(values: pa.Array, at: pa.Array) -> tuple[memoryview, np.ndarray]:
+    """The bytes of ``values`` at the places ``at``, end to end, and where each begins, with the end."""
+    got = values.take(at)
+    cuts = np.frombuffer(got.buffers()[1], np.int64)[got.offset : got.offset + len(got) + 1] if len(got) else np.zeros(1, np.int64)
+    return memoryview(got.buffers()[2] or b"")[int(cuts[0]) : int(cuts[-1])], cuts - cuts[0]
+
+
 def _texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
@@ -502,19 +554,20 @@ def digests(pieces: DataFrame, model_file: str, id_col: str = "doc_id") -> DataF
     def summed(batches):
         model = _model(model_file)
         decoder = Decoder(model)
-        decimal = [str(i).encode() for i in range(len(model.names))]
+        decimal = pa.array([b"%d " % i for i in range(len(model.names))], pa.large_binary())
         for b in batches:
             for part in _slices(b, 1):
                 starts, ends = part.column(2).flatten().to_numpy(), part.column(3).flatten().to_numpy()
                 cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(part.column(1)).to_numpy())])
-                flat = part.column(1).flatten().to_numpy().tolist()
-                ids = [flat[a:z] for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+                flat = part.column(1).flatten()
+                numbers, at = _taken(decimal, flat)
+                at = at[cuts].tolist()
                 spanned = np.concatenate([[0], np.cumsum(ends.astype(np.int64) - starts)])[cuts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), pa.array(np.diff(cuts), pa.int64()),
-                        pa.array([hashlib.sha256(b" ".join(map(decimal.__getitem__, x))).hexdigest() for x in ids], pa.string()),
-                        pa.array([hashlib.sha256(decoder.decode(x).encode()).hexdigest() for x in ids], pa.string()),
+                        pa.array([hashlib.sha256(numbers[a : max(a, z - 1)]).hexdigest() for a, z in zip(at, at[1:], strict=False)], pa.string()),
+                        pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoder.decode_all(flat.to_numpy(), cuts)], pa.string()),
                         pa.array(np.diff(spanned), pa.int64()),
                     ],
                     ("id", "n_tokens", "ids_sha256", "decoded_sha256", "bytes_spanned"),

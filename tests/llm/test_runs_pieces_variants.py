@@ -265,3 +265,17 @@ def test_variants_on_odd_rows(spark, odd_docs, odd_rows, no_docs):
     assert {r[0] for r in got} >= {"colour", "colours", "k" * 2000, "ÀÉÎÕÜß"}
     assert variants.spelling_variants(no_docs).collect() == []
     assert variants.spelling_variants(docs.filter("doc_id = 903")).count() == 1
+
+
+def test_parts_around_line_ends_are_merged_once():
+    """Words that meet at a line's end were a new part for each pair of them."""
+    encoder, decoder = pieces.Encoder(pieces._model(MODEL)), pieces.Decoder(pieces._model(MODEL))
+    words = ["one", "two", "three", "four", "five"]
+    texts = [f"{a}\n{b}" for a in words for b in words] + ["", "\n", "漢\n\U0001f600 ▁x", "▁ "]
+    ids, _, ends = encoder.encode_all(texts)
+    assert len(encoder.parts) < 25
+    cuts = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+    assert decoder.decode_all(np.concatenate(ids), cuts) == [decoder.decode(x.tolist()) for x in ids]
+    plain = [[i for x in encoder.merged(pieces.normalise(encoder.model, t).text) if (i := encoder._number(x)) is not None] for t in texts]
+    for t, x, e, p in zip(texts, ids, ends, plain, strict=True):
+        assert x.tobytes() == encoder._told(p) and (not t or e[-1] == len(t.encode()))
