@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sparkmine.operators.chunks import CHUNK_ENTRIES, chunked_lists
 from sparkmine.operators.skew import hot_keys, salted_join
+from sparkmine.session import materialize
 
 DEFAULT_TOP_K = 10
 
@@ -48,16 +49,21 @@ def normalize_edges(edges: DataFrame, multiset: bool = False) -> DataFrame:
     )
 
 
-def two_hop_pairs(edges: DataFrame, multiset: bool = False, pairs_per_tile: int | None = None) -> DataFrame:
+def two_hop_pairs(edges: DataFrame, multiset: bool = False, pairs_per_tile: int | None = None,
+                  users: DataFrame | None = None, how: str = "left_semi") -> DataFrame:
     """``(user, cand, via)``: ``user`` and ``cand`` both sit in ``via``'s list.
 
+    With ``users`` ``(user)`` only pairs of those users, or of all others (``how="left_anti"``).
+
     Hot via users (a third of all edges in one list) are cut into tiles of at most
     ``pairs_per_tile`` pairs, so their quadratic output is spread over many tasks.
     """
     e = normalize_edges(edges, multiset)
     a = e.select(F.col("user").alias("via"), F.col("pos").alias("pos_a"), F.col("friend").alias("user"))
     b = e.select(F.col("user").alias("via"), F.col("pos").alias("pos_b"), F.col("friend").alias("cand"))
-    j = salted_join(a, b, ["via"], hot_keys(a, ["via"], pairs_per_tile=pairs_per_tile))
+    if users is not None:
+        a = a.join(users, "user", how)
+    j = salted_join(a, b, ["via"], hot_keys(a, ["via"], None if users is None else b, pairs_per_tile=pairs_per_tile))
     if multiset:
         j = j.where(F.col("pos_a") != F.col("pos_b"))
     else:
@@ -85,15 +91,31 @@ def mutual_friend_counts(
     return counts.join(direct, ["user", "cand"], "left_anti")
 
 
-def mutual_friend_lists(edges: DataFrame, multiset: bool = False, pairs_per_tile: int | None = None, size: int = CHUNK_ENTRIES) -> DataFrame:
+def mutual_friend_lists(edges: DataFrame, multiset: bool = False, pairs_per_tile: int | None = None, size: int = CHUNK_ENTRIES, longest: int = CHUNK_ENTRIES) -> DataFrame:
     """``(user, cand, chunk, mutual)``: the mutual friends of every candidate in id order, at most ``size`` a row.
 
-    The list form of ``mutual_friend_counts``; a candidate with millions of mutual friends has many rows.
+    The list form of ``mutual_friend_counts``; a candidate with millions of mutual friends has many rows. A user who sits in
+    at most ``longest`` lists has no longer list of mutual friends, which is grouped as it is and then cut; others' lists are cut by place (``chunks``).
     """
+    edges = materialize(edges, "edges")
     direct = edges.select(F.col("user"), F.col("friend").alias("cand")).distinct()
-    pairs = two_hop_pairs(edges, multiset, pairs_per_tile).join(direct, ["user", "cand"], "left_anti")
-    lists = chunked_lists(pairs, ["user", "cand"], ["via"], "mutual", size)
-    return lists.withColumn("mutual", F.col("mutual.via"))
+
+    def pairs(users=None, how="left_semi"):
+        return two_hop_pairs(edges, multiset, pairs_per_tile, users, how).join(direct, ["user", "cand"], "left_anti")
+
+    def by_place(pairs):
+        return chunked_lists(pairs, ["user", "cand"], ["via"], "mutual", size).withColumn("mutual", F.col("mutual.via"))
+
+    if multiset:  # a pair may have any number of entries in one list
+        return by_place(pairs())
+    hubs = materialize(normalize_edges(edges).groupBy(F.col("friend").alias("user")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > longest).select("user"), "hubs")
+    some = not hubs.isEmpty()
+    # the anti join has dealt the pairs out by user and candidate: they are grouped where they lie
+    lists = (pairs(hubs, "left_anti") if some else pairs()).groupBy("user", "cand").agg(F.array_sort(F.collect_list("via")).alias("_l"))
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.size("_l") - 1) / size).cast("int")),
+                      lambda c: F.struct(c.cast("bigint").alias("chunk"), F.slice("_l", c * size + 1, size).alias("mutual")))
+    short = lists.select("user", "cand", F.explode(cut).alias("_c")).select("user", "cand", "_c.chunk", "_c.mutual")
+    return short.unionByName(by_place(pairs(hubs))) if some else short
 
 
 def recommend_topk(counts: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
