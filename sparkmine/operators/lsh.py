@@ -106,17 +106,26 @@ def bands(sigs: DataFrame, rows: int) -> DataFrame:
     return sigs.select("id", F.explode(cut).alias("b")).select("id", "b.band", "b.key")
 
 
+def _once(sets: DataFrame) -> bool:
+    """Whether no id comes twice."""
+    return sets.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
 class BandIndex:
     """Bands of all sets ``(id, shingles)`` or texts ``(id, para)`` so far, in one bucketed table for each batch, with files in ``folder`` (a shared one, to be kept; else the session's)."""
 
     def __init__(self, spark: SparkSession, name: str, tables: int, rows: int, seed: int = 17, buckets: int = BUCKETS, folder: str | None = None):
         self.spark, self.name, self.folder = spark, name, folder and folder.rstrip("/")
         self.tables, self.rows, self.seed, self.buckets = tables, rows, seed, buckets
-        self.batches = 0
+        self.batches, self.once = 0, []  # once: whether a batch has no id twice
 
     def banded(self, sets: DataFrame) -> DataFrame:
+        """``bands`` with ``before``: the keys of the bands before each one."""
         own = signatures if "shingles" in sets.columns else text_signatures
-        return bands(own(sets, self.tables, self.seed), self.rows)
+        at = F.sequence(F.lit(0), F.floor(F.array_size("hashes") / self.rows).cast("int") - 1)
+        keys = F.transform(at, lambda b: F.xxhash64(b, F.slice("hashes", b * self.rows + 1, self.rows)))
+        keyed = own(sets, self.tables, self.seed).select("id", keys.alias("keys"))
+        return keyed.select("id", "keys", F.posexplode("keys").alias("band", "key")).select("id", "band", "key", F.slice("keys", 1, F.col("band")).alias("before"))
 
     def add(self, sets: DataFrame) -> None:
         """Store a batch; batches before it are not read."""
@@ -126,20 +135,30 @@ class BandIndex:
         rows.write.bucketBy(self.buckets, "band", "key").sortBy("band", "key").option("path", path).mode("error").saveAsTable(table)
         if not self.folder:
             keep_until_release(path)
+        self.once.append(_once(sets))
         self.batches += 1
 
     def probe(self, sets: DataFrame) -> DataFrame:
-        """``(old, new)`` ids that share a band, each pair once; ``sets`` is a new batch."""
-        asked = self.banded(sets).select(F.col("id").alias("new"), "band", "key")
+        """``(old, new)`` ids that share a band, each pair once; ``sets`` is a new batch.
+
+        A pair comes from the first band that it shares, so no pair is dealt out to be told from itself. Only if ids come
+        more than once (in the new batch, in a stored one or in several), pairs are made distinct.
+        """
+        asked = self.banded(sets).select(F.col("id").alias("new"), "band", "key", F.col("before").alias("new_before"))
         out = None
         for b in range(self.batches):
             # merge join on the buckets: stored rows stay where they are, whatever the new batch's size
-            stored = self.spark.table(f"{self.name}_{b}").select(F.col("id").alias("old"), "band", "key").hint("merge")
-            met = stored.join(asked, ["band", "key"]).select("old", "new")
+            stored = self.spark.table(f"{self.name}_{b}").select(F.col("id").alias("old"), "band", "key", "before").hint("merge")
+            met = stored.join(asked, ["band", "key"])
+            for k in range(self.tables // self.rows - 1):  # an earlier band that both have in common
+                met = met.where(F.coalesce(F.get("before", F.lit(k)) != F.get("new_before", F.lit(k)), F.lit(True)))
+            met = met.select("old", "new")
             out = met if out is None else out.union(met)
-        return out.distinct() if out is not None else self.spark.createDataFrame([], "old long, new long")
+        if out is None:
+            return self.spark.createDataFrame([], "old long, new long")
+        return out if self.batches == 1 and self.once[0] and _once(sets) else out.distinct()
 
     def drop(self) -> None:
         for b in range(self.batches):
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{b}")
-        self.batches = 0
+        self.batches, self.once = 0, []
